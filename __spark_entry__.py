@@ -54,7 +54,7 @@ def _on_readings(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _on_stations(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf: operator(feed.catalogue(spark, sf))
+    return lambda spark, sf: operator(_slug_catalogue(spark, sf))
 
 
 def _judged(readings: DataFrame) -> DataFrame:
@@ -139,10 +139,17 @@ def _worst_stations_sql(spark: SparkSession, sf: str) -> DataFrame:
     return op.worst_stations_sql(spark, "instrument_feed")
 
 
+def _slug_catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    """Stations whose id is the slug of their name, hashed once per station."""
+    return feed.catalogue(spark, sf).withColumn("location_id", fn.station_slug("location"))
+
+
 def _assigned_to(spark: SparkSession, sf: str) -> DataFrame:
-    return op.assigned_readings(
-        feed.latest_readings(spark, sf), feed.catalogue(spark, sf), MEMBERS[1], MEMBERS
-    )
+    named = feed.catalogue(spark, sf).withColumn("location", fn.station_slug("location"))
+    readings = op.enrich_with_station(feed.latest_readings(spark, sf), named)
+    readings = readings.withColumn("location_id", F.col("location"))
+    stations = _slug_catalogue(spark, sf)
+    return op.assigned_readings(readings, stations, MEMBERS[1], MEMBERS)
 
 
 def _scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,19 +157,23 @@ def _scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
     events = feed.table(spark, sf, "events").select("event_id", "event_type")
     iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     text = F.when(F.col("event_type") == "error", "not a time").otherwise(iso)
-    index = fn.aqi("parameter", "value")
-    code = fn.validate_code("parameter", "value", "unit", "latitude", "longitude")
-    third = F.col("value") / 3
+    computed = readings.withColumns(
+        {
+            "aqi": fn.aqi("parameter", "value"),
+            "code": fn.validate_code("parameter", "value", "unit", "latitude", "longitude"),
+            "third": F.col("value") / 3,
+        }
+    )
     return _unzoned(
-        readings.join(events, "event_id").select(
+        computed.join(events, "event_id").select(
             "event_id",
-            index.alias("aqi"),
+            "aqi",
             fn.aqi("parameter", "value", gaps="close").alias("aqi_closed"),
-            fn.aqi_category(index).alias("category"),
-            code.alias("code"),
-            fn.reason_message(code).alias("reason"),
-            fn.round_window(third).alias("window_rounded"),
-            fn.round_half_up(third, 1).alias("half_up"),
+            fn.aqi_category("aqi").alias("category"),
+            "code",
+            fn.reason_message("code").alias("reason"),
+            fn.round_window("third").alias("window_rounded"),
+            fn.round_half_up("third", 1).alias("half_up"),
             fn.parse_ts(text).alias("parsed"),
             fn.station_slug(
                 F.concat("location", F.lit("·"), F.col("user_id").cast("string"))
@@ -218,7 +229,7 @@ def queries() -> dict[str, Query]:
         "to_messages": _to_messages,
         "read_aggregate_stream": _read_aggregate_stream,
         "fan_out": _fan_out,
-        "flatten_locations": _on_stations(lambda df: df),
+        "flatten_locations": feed.catalogue,
         "flatten_latest": feed.latest_readings,
         "enrich_with_station": _enrich,
         # Validation and cleaning.

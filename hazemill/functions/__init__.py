@@ -3,20 +3,11 @@
 from hazemill.functions.air import aqi, aqi_category
 from hazemill.functions.checks import reason_message, spec_columns, validate_code
 from hazemill.functions.hashing import fnv1a_32, fnv1a_64, rendezvous_owner, station_slug
-from hazemill.functions.numeric import (
-    Parts,
-    exact_mean,
-    exact_sum,
-    parts,
-    round_half_up,
-    round_window,
-    total,
-)
+from hazemill.functions.numeric import exact_mean, exact_sum, round_half_up, round_window
 from hazemill.functions.sql import register_sql_functions
 from hazemill.functions.times import micros, parse_ts
 
 __all__ = [
-    "Parts",
     "aqi",
     "aqi_category",
     "exact_mean",
@@ -25,7 +16,6 @@ __all__ = [
     "fnv1a_64",
     "micros",
     "parse_ts",
-    "parts",
     "reason_message",
     "register_sql_functions",
     "rendezvous_owner",
@@ -33,6 +23,5 @@ __all__ = [
     "round_window",
     "spec_columns",
     "station_slug",
-    "total",
     "validate_code",
 ]

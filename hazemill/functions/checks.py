@@ -1,4 +1,7 @@
-"""Validation of one reading as a CASE expression; the first rule that fails wins."""
+"""Validation of one reading as a CASE expression; the first rule that fails wins.
+
+Arguments are SQL expressions, usually column names.
+"""
 
 from __future__ import annotations
 
@@ -6,74 +9,57 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hazemill import domain
+from hazemill.functions.numeric import real
 
 
-def _column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _per_pollutant(parameter: Column, field: str) -> Column:
-    case = None
-    for name, spec in domain.SPECS.items():
-        value = F.lit(getattr(spec, field))
-        case = F.when(parameter == name, value) if case is None else case.when(parameter == name, value)
-    return case
+def _per_pollutant(p: str, values: dict[str, str]) -> str:
+    # A constant map names p once; CASE p WHEN ... would repeat it for every pollutant.
+    entries = ", ".join(f"'{name}', {value}" for name, value in values.items())
+    return f"try_element_at(map({entries}), {p})"
 
 
-def spec_columns(parameter: Column | str) -> dict[str, Column]:
+def spec_texts(p: str) -> dict[str, str]:
     """Expected unit and range of a pollutant; NULL for an unknown one."""
-    p = _column(parameter)
+    specs = domain.SPECS.items()
     return {
-        "expected_unit": _per_pollutant(p, "unit"),
-        "min_value": _per_pollutant(p, "low"),
-        "max_value": _per_pollutant(p, "high"),
+        "expected_unit": _per_pollutant(p, {name: f"'{s.unit}'" for name, s in specs}),
+        "min_value": _per_pollutant(p, {name: real(s.low) for name, s in specs}),
+        "max_value": _per_pollutant(p, {name: real(s.high) for name, s in specs}),
     }
 
 
-def code_against(
-    spec: dict[str, Column], value: Column, unit: Column, latitude: Column, longitude: Column
-) -> Column:
-    """Code of a reading against the spec columns that belong to its pollutant."""
-    infinite = (value == float("inf")) | (value == float("-inf"))
-    outside = (value < spec["min_value"]) | (value > spec["max_value"])
-    on_earth = latitude.between(-domain.LATITUDE_LIMIT, domain.LATITUDE_LIMIT) & longitude.between(
-        -domain.LONGITUDE_LIMIT, domain.LONGITUDE_LIMIT
-    )
+def code_text(spec: dict[str, str], v: str, u: str, lat: str, lon: str) -> str:
+    """Code of a reading against the spec expressions of its pollutant."""
+    north, east = real(domain.LATITUDE_LIMIT), real(domain.LONGITUDE_LIMIT)
+    on_earth = f"{lat} BETWEEN -{north} AND {north} AND {lon} BETWEEN -{east} AND {east}"
     return (
-        F.when(spec["max_value"].isNull(), 1)
+        f"CASE WHEN {spec['max_value']} IS NULL THEN 1"
         # NaN sorts above every number, so it must be caught before the range test.
-        .when(value.isNull() | F.isnan(value) | infinite | (value < 0), 2)
-        .when(outside, 3)
+        f" WHEN {v} IS NULL OR isnan({v}) OR abs({v}) = DOUBLE('Infinity') OR {v} < 0D THEN 2"
+        f" WHEN {v} < {spec['min_value']} OR {v} > {spec['max_value']} THEN 3"
         # A missing or empty unit skips the unit test.
-        .when((unit != "") & (unit != spec["expected_unit"]), 4)
+        f" WHEN {u} <> '' AND {u} <> {spec['expected_unit']} THEN 4"
         # NULL and NaN coordinates are not on earth either.
-        .when(~F.coalesce(on_earth, F.lit(False)), 5)
-        .otherwise(0)
+        f" WHEN {on_earth} THEN 0 ELSE 5 END"
     )
 
 
+def reason_text(c: str) -> str:
+    rows = " ".join(f"WHEN {number} THEN '{text}'" for number, text in domain.REASONS.items())
+    return f"CASE {c} {rows} ELSE '{domain.UNKNOWN_REASON}' END"
+
+
+def spec_columns(parameter: str) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in spec_texts(parameter).items()}
+
+
 def validate_code(
-    parameter: Column | str,
-    value: Column | str,
-    unit: Column | str | None = None,
-    latitude: Column | str | None = None,
-    longitude: Column | str | None = None,
+    parameter: str, value: str, unit: str = "''", latitude: str = "0D", longitude: str = "0D"
 ) -> Column:
     """Code 0 for a valid reading, 1 to 5 for the first rule it breaks."""
-    return code_against(
-        spec_columns(parameter),
-        _column(value),
-        F.lit("") if unit is None else _column(unit),
-        F.lit(0.0) if latitude is None else _column(latitude),
-        F.lit(0.0) if longitude is None else _column(longitude),
-    )
+    return F.expr(code_text(spec_texts(parameter), value, unit, latitude, longitude))
 
 
-def reason_message(code: Column | str) -> Column:
+def reason_message(code: str) -> Column:
     """Message of a validation code."""
-    c = _column(code)
-    case = F.when(c == 0, domain.REASONS[0])
-    for number, message in domain.REASONS.items():
-        if number:
-            case = case.when(c == number, message)
-    return case.otherwise(domain.UNKNOWN_REASON)
+    return F.expr(reason_text(code))

@@ -4,6 +4,8 @@ A double sum depends on the order in which partitions arrive, so a mean that lie
 a rounding tie could change from run to run. ``exact_sum`` adds whole parts and
 millionths as two 64-bit integers instead: exact, independent of order, and kept in
 fixed-width aggregation buffers (a decimal sum costs about twice as much time).
+
+Arguments are SQL expressions, usually column names.
 """
 
 from __future__ import annotations
@@ -18,69 +20,81 @@ from pyspark.sql import functions as F
 READING_LIMIT = 1e6
 # Sums of plausible readings stay below readings * 3000, far from 9.2e18.
 TOTAL_LIMIT = 1e15
-_MICRO = 1e6
-_LARGEST_FRACTIONAL = 1e15
 
 
 class Parts(NamedTuple):
     """A value (or a sum of values) as whole part, millionths and the rest.
 
     ``wide`` carries what does not fit (NaN, infinities, huge values), so that none
-    of it is lost silently.
+    of it is lost silently. It is NULL for a NULL value, and so is the total of a
+    group without values.
     """
 
-    whole: Column
-    micros: Column
-    wide: Column
+    whole: str
+    micros: str
+    wide: str
+
+
+def real(value: float) -> str:
+    """A double literal."""
+    return f"{value!r}D"
 
 
-def parts(value: Column, limit: float = READING_LIMIT) -> Parts:
-    """Split ``value`` into the parts that ``exact_sum`` adds up."""
-    fits = F.abs(value) < limit
-    whole = F.floor(value)
+def parts_text(v: str, limit: float = READING_LIMIT) -> Parts:
+    """The parts of a value."""
+    fits = f"abs({v}) < {real(limit)}"
     return Parts(
-        F.when(fits, whole),
-        F.when(fits, F.floor((value - whole) * _MICRO + 0.5)),
-        F.when(~fits, value),
+        f"if({fits}, floor({v}), 0L)",
+        f"if({fits}, floor(({v} - floor({v})) * 1e6D + 0.5D), 0L)",
+        f"if({fits}, 0D, {v})",
     )
 
 
-def total(sums: Parts) -> Column:
-    """The double closest to the summed parts; NULL if nothing was summed."""
-    scale = F.lit(1_000_000).cast("decimal(7,0)")
-    micro = F.lit("0.000001").cast("decimal(6,6)")
-    units = sums.whole.cast("decimal(20,0)") * scale + sums.micros.cast("decimal(20,0)")
-    fixed = (units * micro).cast("double")
-    return F.coalesce(fixed + sums.wide, fixed, sums.wide)
+def total_text(sums: Parts) -> str:
+    """The double closest to the summed parts."""
+    units = (
+        f"CAST({sums.whole} AS DECIMAL(20,0)) * CAST(1000000 AS DECIMAL(7,0))"
+        f" + CAST({sums.micros} AS DECIMAL(20,0))"
+    )
+    return f"(CAST(({units}) * CAST(0.000001 AS DECIMAL(6,6)) AS DOUBLE) + {sums.wide})"
 
 
-def exact_sum(value: Column | str, limit: float = READING_LIMIT) -> Column:
+def exact_sum_text(v: str, limit: float = READING_LIMIT) -> str:
     """Aggregate: the sum of a double column, to a millionth, in any order."""
-    split = parts(F.col(value) if isinstance(value, str) else value, limit)
-    return total(Parts(*(F.sum(part) for part in split)))
+    return total_text(Parts(*(f"sum({part})" for part in parts_text(v, limit))))
 
 
-def exact_mean(value: Column | str, limit: float = READING_LIMIT) -> Column:
-    """Aggregate: ``exact_sum`` over the number of non-null values."""
-    return exact_sum(value, limit) / F.count(value)
+def exact_mean_text(v: str, limit: float = READING_LIMIT) -> str:
+    """Aggregate: ``exact_sum`` over the number of values."""
+    return f"({exact_sum_text(v, limit)} / nullif(count({v}), 0))"
 
 
-def round_half_up(value: Column, digits: int = 0) -> Column:
+def round_half_up_text(v: str, digits: int | str = 0) -> str:
     """Round the double itself, ties away from zero.
 
-    ``F.round`` works on the decimal text instead, so 2.675 would become 2.68.
+    ``round(v, 2)`` would work on the decimal text instead and turn 2.675 into 2.68;
+    rounding to a whole number is the same either way.
     """
-    factor = float(10**digits)
-    scaled = F.abs(value) * factor
-    floor = F.floor(scaled)
-    rounded = (floor + F.when(scaled - floor >= 0.5, 1).otherwise(0)) / factor
-    signed = F.when(value < 0, -rounded).otherwise(rounded)
-    # NaN, infinities and values too large for a fraction stay as they are.
-    return F.when(scaled < _LARGEST_FRACTIONAL, signed).otherwise(value)
+    factor = f"power(10D, {digits})" if isinstance(digits, str) else real(10.0**digits)
+    return f"(round(({v}) * {factor}) / {factor})"
 
 
-def round_window(value: Column) -> Column:
+def round_window_text(v: str) -> str:
     """Two decimals the way the window roll-up writes them: add a half, cut off."""
-    shifted = value * 100 + 0.5
-    cut = F.when(shifted >= 0, F.floor(shifted)).otherwise(F.ceil(shifted)) / 100
-    return F.when(F.abs(shifted) < _LARGEST_FRACTIONAL, cut).otherwise(value)
+    return f"if(abs({v}) < 1e13D, CAST({v} * 100D + 0.5D AS BIGINT) / 100D, {v})"
+
+
+def exact_sum(value: str, limit: float = READING_LIMIT) -> Column:
+    return F.expr(exact_sum_text(value, limit))
+
+
+def exact_mean(value: str, limit: float = READING_LIMIT) -> Column:
+    return F.expr(exact_mean_text(value, limit))
+
+
+def round_half_up(value: str, digits: int = 0) -> Column:
+    return F.expr(round_half_up_text(value, digits))
+
+
+def round_window(value: str) -> Column:
+    return F.expr(round_window_text(value))

@@ -8,94 +8,31 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from hazemill import domain
-from hazemill.functions import numeric
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
-
-
-def _real(value: float) -> str:
-    return f"{value!r}D"
-
-
-def _pollutant_sql(bands: list[domain.Band]) -> str:
-    rows = " ".join(
-        f"WHEN c BETWEEN {_real(b.c_low)} AND {_real(b.c_high)} THEN CAST(ROUND("
-        f"{_real((b.i_high - b.i_low) / (b.c_high - b.c_low))} * (c - {_real(b.c_low)})"
-        f" + {_real(float(b.i_low))}) AS INT)"
-        for b in bands
-    )
-    return f"CASE WHEN c IS NULL THEN NULL {rows} ELSE {bands[-1].i_high} END"
-
-
-def _aqi_sql() -> str:
-    cases = " ".join(f"WHEN {_text(p)} THEN {_pollutant_sql(b)}" for p, b in domain.AQI_BANDS.items())
-    return f"CASE p {cases} ELSE {domain.UNKNOWN_AQI} END"
-
-
-def _category_sql() -> str:
-    rows = " ".join(f"WHEN i <= {upper} THEN {_text(name)}" for upper, name in domain.AQI_CATEGORIES)
-    return (
-        f"CASE WHEN i IS NULL THEN NULL WHEN i < 0 THEN {_text(domain.UNKNOWN_CATEGORY)}"
-        f" {rows} ELSE {_text(domain.TOP_CATEGORY)} END"
-    )
-
-
-def _by_pollutant(field: str, render) -> str:
-    cases = " ".join(f"WHEN {_text(p)} THEN {render(getattr(s, field))}" for p, s in domain.SPECS.items())
-    return f"CASE p {cases} END"
-
-
-def _code_sql() -> str:
-    infinity = "DOUBLE('Infinity')"
-    lat, lon = _real(domain.LATITUDE_LIMIT), _real(domain.LONGITUDE_LIMIT)
-    return (
-        f"CASE WHEN {_by_pollutant('high', _real)} IS NULL THEN 1"
-        f" WHEN v IS NULL OR isnan(v) OR abs(v) = {infinity} OR v < 0 THEN 2"
-        f" WHEN v < {_by_pollutant('low', _real)} OR v > {_by_pollutant('high', _real)} THEN 3"
-        f" WHEN u <> '' AND u <> {_by_pollutant('unit', _text)} THEN 4"
-        f" WHEN coalesce(lat BETWEEN -{lat} AND {lat} AND lon BETWEEN -{lon} AND {lon}, false)"
-        f" THEN 0 ELSE 5 END"
-    )
-
-
-def _reason_sql() -> str:
-    rows = " ".join(f"WHEN {code} THEN {_text(message)}" for code, message in domain.REASONS.items())
-    return f"CASE c {rows} ELSE {_text(domain.UNKNOWN_REASON)} END"
-
-
-def _round_sql() -> str:
-    scaled = "(abs(v) * power(10D, d))"
-    away = f"(floor({scaled}) + CASE WHEN {scaled} - floor({scaled}) >= 0.5D THEN 1 ELSE 0 END) / power(10D, d)"
-    return f"CASE WHEN {scaled} < 1e15D THEN CASE WHEN v < 0 THEN -({away}) ELSE {away} END ELSE v END"
+from hazemill.functions.air import aqi_category_text, aqi_text
+from hazemill.functions.checks import code_text, reason_text, spec_texts
+from hazemill.functions.numeric import Parts, parts_text, round_half_up_text, total_text
 
 
 def _definitions() -> dict[str, tuple[str, str, str]]:
-    limit = _real(numeric.READING_LIMIT)
-    fixed = (
-        "CAST((CAST(whole AS DECIMAL(20,0)) * CAST(1000000 AS DECIMAL(7,0))"
-        " + CAST(micros AS DECIMAL(20,0))) * CAST('0.000001' AS DECIMAL(6,6)) AS DOUBLE)"
-    )
+    part = parts_text("v")
     return {
-        "aqi": ("p STRING, c DOUBLE", "INT", _aqi_sql()),
-        "aqi_category": ("i INT", "STRING", _category_sql()),
-        "validate_code": ("p STRING, v DOUBLE, u STRING, lat DOUBLE, lon DOUBLE", "INT", _code_sql()),
-        "reason_message": ("c INT", "STRING", _reason_sql()),
-        "round_half_up": ("v DOUBLE, d INT", "DOUBLE", _round_sql()),
-        # Row parts and total of an exact sum: sum_total(sum(part_whole(x)), ...).
-        "part_whole": ("v DOUBLE", "BIGINT", f"CASE WHEN abs(v) < {limit} THEN floor(v) END"),
-        "part_micros": (
-            "v DOUBLE",
-            "BIGINT",
-            f"CASE WHEN abs(v) < {limit} THEN floor((v - floor(v)) * 1e6D + 0.5D) END",
+        "aqi": ("p STRING, c DOUBLE", "INT", aqi_text("p", "c")),
+        "aqi_category": ("i INT", "STRING", aqi_category_text("i")),
+        "validate_code": (
+            "p STRING, v DOUBLE, u STRING, lat DOUBLE, lon DOUBLE",
+            "INT",
+            code_text(spec_texts("p"), "v", "u", "lat", "lon"),
         ),
-        "part_wide": ("v DOUBLE", "DOUBLE", f"CASE WHEN NOT abs(v) < {limit} THEN v END"),
+        "reason_message": ("c INT", "STRING", reason_text("c")),
+        "round_half_up": ("v DOUBLE, d INT", "DOUBLE", round_half_up_text("v", "d")),
+        # Row parts and total of an exact sum: sum_total(sum(part_whole(x)), ...).
+        "part_whole": ("v DOUBLE", "BIGINT", part.whole),
+        "part_micros": ("v DOUBLE", "BIGINT", part.micros),
+        "part_wide": ("v DOUBLE", "DOUBLE", part.wide),
         "sum_total": (
             "whole BIGINT, micros BIGINT, wide DOUBLE",
             "DOUBLE",
-            f"coalesce({fixed} + wide, {fixed}, wide)",
+            total_text(Parts("whole", "micros", "wide")),
         ),
     }
 

@@ -8,12 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazemill import domain
-from hazemill.functions.numeric import Parts, exact_mean, parts, round_half_up, total
+from hazemill.functions.numeric import (
+    Parts,
+    exact_mean_text,
+    parts_text,
+    round_half_up,
+    total_text,
+)
 from hazemill.functions.times import interval, micros
 from hazemill.operators.reports import by_parameter
 
 SENSOR = ["location_id", "location", "city", "country", "parameter"]
 SERIES = ["city", "parameter"]
+_SUMS = Parts("_whole", "_micros", "_wide")
 
 
 def _latest(df: DataFrame, *extra: Column) -> DataFrame:
@@ -105,8 +112,8 @@ def rolling_summary(
 def summarise_series(df: DataFrame, *keys: Column | str) -> DataFrame:
     """The rolling figures of each group (batch or streaming)."""
     return df.groupBy(*keys).agg(
-        round_half_up(exact_mean("avg"), 2).alias("rolling_mean"),
-        round_half_up(F.avg("aqi"), 1).alias("rolling_aqi"),
+        round_half_up(exact_mean_text("avg"), 2).alias("rolling_mean"),
+        round_half_up("avg(aqi)", 1).alias("rolling_aqi"),
         F.max("max").alias("peak"),
         F.count(F.lit(1)).alias("windows"),
     )
@@ -125,15 +132,14 @@ def rolling_as_of(
     """
     length = micros(span)
     chunk = length * chunk_spans
-    mean, index = parts(F.col("avg")), F.col("aqi")
     instants = (
         df.filter(F.col("window_end").isNotNull())
         .groupBy(*SERIES, "window_end")
         .agg(
-            *(F.sum(part).alias(f"_p{i}") for i, part in enumerate(mean)),
+            *(F.expr(f"sum({part})").alias(c) for part, c in zip(parts_text("avg"), _SUMS)),
             F.count("avg").alias("_means"),
-            F.sum(index.cast("bigint")).alias("_index"),
-            F.count(index).alias("_indexes"),
+            F.sum("aqi").alias("_index"),
+            F.count("aqi").alias("_indexes"),
             F.max("max").alias("_peak"),
             F.count(F.lit(1)).alias("_rows"),
         )
@@ -152,7 +158,7 @@ def rolling_as_of(
         )
     )
     frame = Window.partitionBy(*SERIES, "_chunk").orderBy("_at").rangeBetween(-length, 0)
-    summed = ["_p0", "_p1", "_p2", "_means", "_index", "_indexes", "_rows"]
+    summed = [*_SUMS, "_means", "_index", "_indexes", "_rows"]
     seen = spread.select(
         *SERIES,
         "window_end",
@@ -161,12 +167,11 @@ def rolling_as_of(
         *(F.sum(c).over(frame).alias(c) for c in summed),
         F.max("_peak").over(frame).alias("peak"),
     ).filter(F.col("_chunk") == F.col("_own"))
-    mean_value = total(Parts(F.col("_p0"), F.col("_p1"), F.col("_p2"))) / F.col("_means")
     return seen.select(
         *SERIES,
         "window_end",
-        round_half_up(mean_value, 2).alias("rolling_mean"),
-        round_half_up(F.col("_index") / F.col("_indexes"), 1).alias("rolling_aqi"),
+        round_half_up(f"{total_text(_SUMS)} / nullif(_means, 0)", 2).alias("rolling_mean"),
+        round_half_up("_index / nullif(_indexes, 0)", 1).alias("rolling_aqi"),
         "peak",
         F.col("_rows").alias("windows"),
     )

@@ -104,7 +104,7 @@ def pollutant_distribution(
         .select(
             "parameter",
             F.col("n").alias("windows"),
-            *(round_half_up(F.col(c), _DIGITS).alias(c) for c in numbers),
+            *(round_half_up(f"`{c}`", _DIGITS).alias(c) for c in numbers),
             "outliers",
         )
         .orderBy("parameter")

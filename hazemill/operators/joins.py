@@ -78,7 +78,7 @@ def with_spec(
     the columns ``parameter, expected_unit, min_value, max_value`` is looked up.
     """
     if specs is None:
-        return df.withColumns(spec_columns(parameter))
+        return df.withColumns(spec_columns(f"`{parameter}`"))
     rules = specs.select(
         F.col("parameter").alias(parameter), "expected_unit", "min_value", "max_value"
     )

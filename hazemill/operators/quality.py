@@ -8,20 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazemill import domain
-from hazemill.functions.checks import code_against, reason_message, spec_columns
+from hazemill.functions.checks import code_text, reason_message, spec_texts
 
 WINDOW_KEYS = ["location_id", "parameter", "window_start"]
 
 
 def _code(df: DataFrame, parameter: str, value: str, unit: str, lat: str, lon: str) -> Column:
-    named = {"expected_unit", "min_value", "max_value"}
-    spec = {n: F.col(n) for n in named} if named <= set(df.columns) else spec_columns(parameter)
-    return code_against(
-        spec,
-        F.col(value),
-        F.col(unit) if unit in df.columns else F.lit(""),
-        F.col(lat) if lat in df.columns else F.lit(0.0),
-        F.col(lon) if lon in df.columns else F.lit(0.0),
+    known = set(df.columns)
+    spec = spec_texts(f"`{parameter}`")
+    if set(spec) <= known:
+        spec = {name: name for name in spec}
+    return F.expr(
+        code_text(
+            spec,
+            f"`{value}`",
+            f"`{unit}`" if unit in known else "''",
+            f"`{lat}`" if lat in known else "0D",
+            f"`{lon}`" if lon in known else "0D",
+        )
     )
 
 

@@ -8,11 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazemill import domain
-from hazemill.functions.numeric import TOTAL_LIMIT, exact_mean, exact_sum, round_half_up
+from hazemill.functions.numeric import (
+    TOTAL_LIMIT,
+    exact_mean,
+    exact_mean_text,
+    exact_sum_text,
+    round_half_up,
+)
 from hazemill.functions.sql import register_sql_functions
 
 STATION = ["location", "city", "country"]
@@ -36,8 +42,8 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
 def worst_stations(df: DataFrame, top: int = domain.TOP_STATIONS) -> DataFrame:
     """Stations with the highest mean PM2.5 index; ties by station, city and country."""
     ranked = by_parameter(df).groupBy(*STATION).agg(
-        round_half_up(F.avg("aqi"), 1).alias("avg_aqi"),
-        round_half_up(exact_mean("avg"), 2).alias("avg_pm25"),
+        round_half_up("avg(aqi)", 1).alias("avg_aqi"),
+        round_half_up(exact_mean_text("avg"), 2).alias("avg_pm25"),
         F.max("max").alias("peak_pm25"),
         F.count(F.lit(1)).alias("windows"),
     )
@@ -73,10 +79,10 @@ def pollutant_summary(df: DataFrame) -> DataFrame:
     return (
         df.groupBy("parameter")
         .agg(
-            round_half_up(exact_mean("avg"), 2).alias("mean"),
+            round_half_up(exact_mean_text("avg"), 2).alias("mean"),
             F.min("min").alias("min"),
             F.max("max").alias("max"),
-            round_half_up(exact_sum("sum", TOTAL_LIMIT), 1).alias("sum"),
+            round_half_up(exact_sum_text("sum", TOTAL_LIMIT), 1).alias("sum"),
             F.count(F.lit(1)).alias("count"),
         )
         .orderBy("parameter")
@@ -93,11 +99,8 @@ def aqi_category_share(df: DataFrame) -> DataFrame:
     """Windows and percentage per health category."""
     counts = df.groupBy("aqi_category").agg(F.count(F.lit(1)).alias("windows"))
     # One row per category is left here, so the window without keys is small.
-    every = Window.partitionBy()
-    share = F.col("windows") * 100.0 / F.sum("windows").over(every)
-    return counts.withColumn("share_percent", round_half_up(share, 2)).orderBy(
-        F.desc("windows"), "aqi_category"
-    )
+    share = round_half_up("windows * 100D / sum(windows) OVER ()", 2)
+    return counts.withColumn("share_percent", share).orderBy(F.desc("windows"), "aqi_category")
 
 
 def city_pollutant_matrix(

@@ -9,21 +9,20 @@ from pyspark.sql import functions as F
 
 from hazemill import domain
 from hazemill.functions.air import aqi, aqi_category
-from hazemill.functions.numeric import Parts, parts, round_window, total
+from hazemill.functions.numeric import Parts, parts_text, round_window, total_text
 from hazemill.schemas import AGGREGATE, METADATA
 
 STATION_PARAMETER = ["location_id", "parameter"]
-_SUMS = ("_whole", "_micros", "_wide")
+_SUMS = Parts("_whole", "_micros", "_wide")
 
 
 def reading_aggregates() -> list[Column]:
     """Partial results of a group of readings, all in fixed-width buffers."""
-    value = F.col("value")
     return [
-        F.count(value).alias("count"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        *(F.sum(part).alias(name) for part, name in zip(parts(value), _SUMS)),
+        F.count("value").alias("count"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        *(F.expr(f"sum({part})").alias(name) for part, name in zip(parts_text("value"), _SUMS)),
     ]
 
 
@@ -33,24 +32,21 @@ def finish(groups: DataFrame, window: str = "_window", extra: Sequence[str] = ()
     The index is taken from the unrounded mean; sum and mean are then rounded, minimum
     and maximum are not.
     """
-    full = total(Parts(*(F.col(name) for name in _SUMS)))
-    named = groups.withColumns(
-        {
-            "sum": full,
-            "avg": full / F.col("count"),
-            "window_start": F.col(f"{window}.start"),
-            "window_end": F.col(f"{window}.end"),
-            **{c: F.col(f"_first.{c}") for c in METADATA},
-        }
-    ).withColumn("aqi", aqi("parameter", "avg"))
-    done = named.withColumns(
-        {
-            "sum": round_window(F.col("sum")),
-            "avg": round_window(F.col("avg")),
-            "aqi_category": aqi_category("aqi"),
-        }
+    total = total_text(_SUMS)
+    means = groups.withColumns(
+        {"_total": F.expr(total), "_mean": F.expr(f"{total} / nullif(count, 0)")}
+    ).withColumn("aqi", aqi("parameter", "_mean"))
+    computed = {
+        **{c: F.col(f"_first.{c}") for c in METADATA},
+        "window_start": F.col(f"{window}.start"),
+        "window_end": F.col(f"{window}.end"),
+        "sum": round_window("_total"),
+        "avg": round_window("_mean"),
+        "aqi_category": aqi_category("aqi"),
+    }
+    return means.select(
+        *(computed[c].alias(c) if c in computed else c for c in AGGREGATE.fieldNames()), *extra
     )
-    return done.select(*AGGREGATE.fieldNames(), *extra)
 
 
 def tumbling_aggregate(
@@ -86,9 +82,9 @@ def with_aqi(aggregates: DataFrame) -> DataFrame:
     known = set(aggregates.columns)
     index = aqi("parameter", "avg")
     if "aqi" in known:
-        index = F.coalesce(F.col("aqi"), index)
-    out = aggregates.withColumn("aqi", index.cast("int"))
+        index = F.coalesce("aqi", index)
+    out = aggregates.withColumn("aqi", index)
     category = aqi_category("aqi")
     if "aqi_category" in known:
-        category = F.coalesce(F.col("aqi_category"), category)
+        category = F.coalesce("aqi_category", category)
     return out.withColumn("aqi_category", category).select(*AGGREGATE.fieldNames())

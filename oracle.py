@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from hazemill import domain
 
-MEMBERS = [f"collector-{i}" for i in range(4)]
-MORE_MEMBERS = [f"collector-{i}" for i in range(5)]
+MEMBERS = ["east", "north", "south", "west"]
+MORE_MEMBERS = ["centre", *MEMBERS]
 
 
 def _case(parameter: str, field: str, quote: bool = False) -> str:
@@ -161,6 +161,10 @@ stations as (
     lat as latitude, lon as longitude
   from supplier join st on s_nationkey = n_nationkey)"""
 
+SLUGGED = f"""{STATIONS},
+slugged as (select * replace (
+  'st-' || lpad(lower(hex(cast({fnv("location", 32)} as ubigint))), 8, '0') as location_id) from stations)"""
+
 LATEST = """
 latest as (
   select concat('oa-', cast(user_id as varchar)) as location_id, parameter, value, unit,
@@ -259,7 +263,7 @@ def oracle_sql() -> dict[str, str]:
         CODED,
         """select r as raw_rows, r - u as duplicate_rows, u - c as invalid_rows, r - c as dropped_rows,
           c as clean_rows
-        from (select (select count(*) from feed) as r, count(*) as u, count_if(valid) as c from judged)""",
+        from (select (select count(*) from feed) as r, count(*) as u, count(*) filter (where valid) as c from judged)""",
     )
 
     # Roll-up and reports.
@@ -360,25 +364,28 @@ def oracle_sql() -> dict[str, str]:
     )
 
     # Shards.
-    add("assign_shards", STATIONS, f"select *, {owner('location_id', MEMBERS)} as owner from stations")
+    add("assign_shards", SLUGGED, f"select *, {owner('location_id', MEMBERS)} as owner from slugged")
     add(
         "shard_sizes",
-        STATIONS,
-        f"""select {owner('location_id', MEMBERS)} as owner, count(*) as stations from stations
+        SLUGGED,
+        f"""select {owner('location_id', MEMBERS)} as owner, count(*) as stations from slugged
         group by 1 order by 1""",
     )
     add(
         "shard_moves",
-        STATIONS,
+        SLUGGED,
         f"""select *, old_owner <> new_owner as moved from (
           select location_id, {owner('location_id', MEMBERS)} as old_owner,
-            {owner('location_id', MORE_MEMBERS)} as new_owner from stations)""",
+            {owner('location_id', MORE_MEMBERS)} as new_owner from slugged)""",
     )
     add(
         "assigned_to",
-        f"{STATIONS}, {LATEST}",
-        f"""select * from latest where location_id in (select location_id from stations
-          where {owner('location_id', MEMBERS)} = '{MEMBERS[1]}')""",
+        f"""{SLUGGED}, {LATEST},
+        named as (select s.location_id as slug, t.location_id from stations t join slugged s using (location))""",
+        f"""select slug as location_id, slug as location, city, country, parameter, value, unit,
+          latitude, longitude, timestamp
+        from latest join named using (location_id) join stations using (location_id)
+        where {owner('slug', MEMBERS)} = '{MEMBERS[1]}'""",
     )
 
     # Scalar functions, as columns and from SQL.
