@@ -77,11 +77,15 @@ def pollutant_distribution(
     ``approximate=True`` takes the quartiles from a sketch of bounded size, for values
     that repeat too rarely to be counted. Numbers are rounded to six decimals.
     """
-    finite = df.filter(F.abs("avg") < float("inf")).select("parameter", F.col("avg").alias("_v"))
+    finite = df.filter(F.col("parameter").isNotNull() & (F.abs("avg") < float("inf"))).select(
+        "parameter", F.col("avg").alias("_v")
+    )
+    # All branches below start from these counts. The bin is declared non-null, or the
+    # joins would add different null filters and each branch would count for itself.
     values = (
-        finite.withColumn("_bin", F.floor("_v"))
-        .groupBy("parameter", "_bin", "_v")
+        finite.groupBy("parameter", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_bin", F.coalesce(F.floor("_v"), F.lit(0)))
     )
     box = _approximate_quartiles(finite, accuracy) if approximate else _exact_quartiles(values)
     reach = (F.col("q3") - F.col("q1")) * _WHISKER
