@@ -22,7 +22,7 @@ TABLES = (
 ).split()
 
 
-def test_session() -> SparkSession:
+def local_session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -89,7 +89,7 @@ def same_type(spark_type: str, duck_type: str) -> bool:
 def main(arguments: list[str]) -> int:
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
     names = arguments[1:] or list(contract.queries())
-    spark, con, failed = test_session(), duck(sf_dir), 0
+    spark, con, failed = local_session(), duck(sf_dir), 0
     for name in names:
         began = time.time()
         try:
