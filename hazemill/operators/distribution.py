@@ -91,9 +91,10 @@ def pollutant_distribution(
     reach = (F.col("q3") - F.col("q1")) * _WHISKER
     box = box.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
     within = F.col("_v").between(F.col("_low"), F.col("_high"))
+    # The box of a pollutant is the same on all its rows, so it may serve as grouping key.
     whiskers = (
-        values.join(box.select("parameter", "_low", "_high"), "parameter")
-        .groupBy("parameter")
+        values.join(box, "parameter")
+        .groupBy(*box.columns)
         .agg(
             F.min("_v").alias("min"),
             F.min(F.when(within, F.col("_v"))).alias("whisker_low"),
@@ -104,12 +105,10 @@ def pollutant_distribution(
     )
     numbers = ["min", "whisker_low", "q1", "median", "q3", "whisker_high", "max"]
     return (
-        box.join(whiskers, "parameter")
-        .select(
+        whiskers.select(
             "parameter",
             F.col("n").alias("windows"),
             *(round_half_up(f"`{c}`", _DIGITS).alias(c) for c in numbers),
             "outliers",
-        )
-        .orderBy("parameter")
+        ).orderBy("parameter")
     )

@@ -19,58 +19,61 @@ from hazemill.sources.payloads import flatten_latest, flatten_locations, station
 STATIONS = 25
 DAY = "1 day"
 
-# The pollutant each event type stands for.
-_POLLUTANT = {"click": "pm25", "view": "pm10", "purchase": "no2", "signup": "o3"}
-
-EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+    " props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
+# Which pollutant an event stands for, and the faults by counter k.
+_READING = [
+    "concat('st-', site) AS location_id",
+    "city AS location",
+    "city",
+    "country",
+    """CASE WHEN k = 97 THEN 'xx' WHEN k % 6 = 5 THEN 'co' WHEN event_type = 'click' THEN 'pm25'
+            WHEN event_type = 'view' THEN 'pm10' WHEN event_type = 'purchase' THEN 'no2'
+            WHEN event_type = 'signup' THEN 'o3' ELSE 'so2' END AS parameter""",
+    """CASE WHEN k = 95 THEN value * 50 WHEN k = 94 THEN -value WHEN k = 93 THEN DOUBLE('NaN')
+            ELSE value END AS value""",
+    """CASE WHEN k = 98 THEN 'ppm' WHEN k = 96 THEN '' WHEN k % 6 = 5 AND k <> 97 THEN 'mg/m³'
+            ELSE 'µg/m³' END AS unit""",
+    "if(k = 92, 200D, latitude) AS latitude",
+    "longitude",
+    "ts AS timestamp",
+    "event_id",
+    "user_id",
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table. Times are handled in UTC whatever the session came with."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of each of the 25 station numbers."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    regions = region.select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    return join_dimension(nation, regions, "n_regionkey").select(
-        F.col("n_nationkey").cast("bigint").alias("site"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("country"),
-        (F.col("n_nationkey") * 6 - 72).cast("double").alias("latitude"),
-        (F.col("n_nationkey") * 14 - 168).cast("double").alias("longitude"),
+    regions = region.withColumnRenamed("r_regionkey", "n_regionkey")
+    return join_dimension(nation, regions, "n_regionkey").selectExpr(
+        "bigint(n_nationkey) AS site",
+        "n_name AS city",
+        "r_name AS country",
+        "double(n_nationkey * 6 - 72) AS latitude",
+        "double(n_nationkey * 14 - 168) AS longitude",
     )
 
 
 def readings_from(events: DataFrame, places: DataFrame) -> DataFrame:
     """Measurements (some faulty) plus ``event_id`` and ``user_id``, batch or stream."""
-    k, value = F.col("k"), F.col("value")
-    pollutant = F.when(k == 97, "xx").when(k % 6 == 5, "co")
-    for event, name in _POLLUTANT.items():
-        pollutant = pollutant.when(F.col("event_type") == event, name)
-    columns = {
-        "location_id": F.concat(F.lit("st-"), F.col("site").cast("string")),
-        "location": F.col("city"),
-        "parameter": pollutant.otherwise("so2"),
-        "value": F.when(k == 95, value * 50)
-        .when(k == 94, -value)
-        .when(k == 93, F.lit(float("nan")))
-        .otherwise(value),
-        "unit": F.when(k == 98, "ppm")
-        .when(k == 96, "")
-        .when((k % 6 == 5) & (k != 97), "mg/m³")
-        .otherwise("µg/m³"),
-        "latitude": F.when(k == 92, 200.0).otherwise(F.col("latitude")),
-        "timestamp": F.col("ts"),
-    }
     # A generator parses each text once; predicates on k cannot be pushed into it.
     numbered = events.select(
-        "*", (F.col("user_id") % STATIONS).alias("site"), F.json_tuple("props", "k").alias("k")
-    ).withColumn("k", F.col("k").cast("int"))
-    placed = join_dimension(numbered, places, "site").withColumns(columns)
-    return placed.select(*MEASUREMENT.fieldNames(), "event_id", "user_id")
+        "*", (F.col("user_id") % STATIONS).alias("site"), F.json_tuple("props", "k").alias("_k")
+    ).withColumn("k", F.col("_k").cast("int"))
+    return join_dimension(numbered, places, "site").selectExpr(*_READING)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +85,7 @@ def reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same readings as a stream; its times are instants, as watermarks require."""
     places = sites(spark, sf_dir)
     events = (
-        spark.readStream.schema(EVENTS)
+        spark.readStream.schema(SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )

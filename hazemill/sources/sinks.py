@@ -13,6 +13,9 @@ from hazemill.sources.tables import write_aggregates
 
 log = logging.getLogger(__name__)
 
+# More partitions than any batch has: coalescing to it merges none of them.
+_ALL_PARTITIONS = 1_000_000
+
 
 class Sink(Protocol):
     """Receives each batch of aggregates; publishing a batch again replaces it."""
@@ -78,14 +81,16 @@ def fan_out(sinks: Sequence[Sink]) -> Callable[[DataFrame, int], None]:
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        # Coalescing drops the sort order of the plan, which Spark 4.1 fails to carry
+        # into a cached micro-batch (its columns were renamed on the way).
+        once = batch.coalesce(_ALL_PARTITIONS).persist()
         try:
             for sink in sinks:
                 try:
-                    sink.publish(batch, batch_id)
+                    sink.publish(once, batch_id)
                 except Exception:
                     log.exception("sink %s failed on batch %d", sink.name, batch_id)
         finally:
-            batch.unpersist()
+            once.unpersist()
 
     return publish
