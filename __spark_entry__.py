@@ -78,6 +78,15 @@ def _read_aggregates(spark: SparkSession, sf: str) -> DataFrame:
     return _unzoned(sources.read_aggregates(spark, _stored_daily(spark, sf)))
 
 
+def _register_views(spark: SparkSession, sf: str) -> DataFrame:
+    sources.register_views(spark, _stored_daily(spark, sf), "daily_windows")
+    return spark.sql(
+        "SELECT city, parameter, count(*) AS windows, max(aqi) AS peak_aqi FROM daily_windows"
+        " WHERE parameter <> :skipped GROUP BY city, parameter",
+        args={"skipped": "co"},
+    )
+
+
 def _to_messages(spark: SparkSession, sf: str) -> DataFrame:
     messages = sources.to_messages(feed.daily_windows(spark, sf), ordered=True)
     decoded = sources.from_messages(messages)
@@ -226,6 +235,7 @@ def queries() -> dict[str, Query]:
     return {
         # Sources, sinks and payloads.
         "read_aggregates": _read_aggregates,
+        "register_views": _register_views,
         "to_messages": _to_messages,
         "read_aggregate_stream": _read_aggregate_stream,
         "fan_out": _fan_out,
@@ -246,6 +256,7 @@ def queries() -> dict[str, Query]:
         "clean_report": lambda spark, sf: op.clean_report(feed.instrument_feed(spark, sf)),
         # Roll-up and reports.
         "tumbling_aggregate": feed.daily_windows,
+        "with_aqi": _on_daily(lambda df: op.with_aqi(df.drop("aqi", "aqi_category"))),
         "by_parameter": _on_daily(op.by_parameter),
         "worst_stations": _on_cleaned(op.worst_stations),
         "worst_stations_sql": _worst_stations_sql,
@@ -265,6 +276,9 @@ def queries() -> dict[str, Query]:
         "within_last": _on_daily(lambda df: op.within_last(df, "7 days")),
         "rolling_summary": _on_daily(lambda df: op.rolling_summary(df, "7 days")),
         "rolling_as_of": _on_daily(lambda df: op.rolling_as_of(df, "3 days")),
+        "sliding_summary": lambda spark, sf: _unzoned(
+            streaming.stream_sliding(feed.daily_windows(spark, sf), "3 days", "1 day")
+        ),
         # Shards.
         "assign_shards": _on_stations(lambda df: op.assign_shards(df, MEMBERS)),
         "shard_sizes": _on_stations(lambda df: op.shard_sizes(df, MEMBERS)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -24,9 +25,16 @@ def _broadcast_limit(df: DataFrame) -> int:
     return int(number)
 
 
-def _planned_size(df: DataFrame) -> int:
-    """Catalyst's estimate of the table size in bytes (an upper bound without filters)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def _size_bound(df: DataFrame) -> int | None:
+    """Catalyst's size of a table in bytes, where it is an upper bound.
+
+    Filters, aggregations and joins are estimated at or above their true size. A
+    generator may emit any number of rows per input row, so behind one there is no bound.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if re.search(r"^\W*Generate ", plan.toString(), re.MULTILINE):
+        return None
+    return int(plan.stats().sizeInBytes())
 
 
 def join_dimension(
@@ -38,9 +46,10 @@ def join_dimension(
 ) -> DataFrame:
     """Join each fact with its (unique) dimension row.
 
-    A dimension whose planned size is within ``spark.sql.autoBroadcastJoinThreshold``
-    is broadcast. A larger one is replicated ``salts`` times and joined on the key and
-    a salt, so that a key holding a third of all facts is spread over ``salts`` tasks.
+    A dimension that is known to be within ``spark.sql.autoBroadcastJoinThreshold`` is
+    broadcast. Any other is replicated ``salts`` times and joined on the key and a
+    salt, so that a key holding a third of all facts is spread over ``salts`` tasks
+    (adaptive execution still broadcasts it if it turns out small when measured).
     The salt is a hash of the fact's other columns and of its input partition: copies
     of one fact are spread too, and a task that is run again sends every row the same
     way, which a random salt would not.
@@ -48,7 +57,8 @@ def join_dimension(
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported lookup join: {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
-    if _planned_size(dimension) <= _broadcast_limit(facts):
+    size = _size_bound(dimension)
+    if size is not None and size <= _broadcast_limit(facts):
         return facts.join(F.broadcast(dimension), keys, how)
     spread = F.xxhash64(F.spark_partition_id(), *(c for c in facts.columns if c not in keys))
     salted = facts.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))

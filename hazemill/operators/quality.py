@@ -108,28 +108,33 @@ def quality_report(validated: DataFrame) -> DataFrame:
     return counts.select("code", reason_message("code").alias("reason"), "readings").orderBy("code")
 
 
+def _code_counts() -> list[Column]:
+    rejected = (code for code in domain.REASONS if code)
+    return [
+        F.count(F.lit(1)).alias("measurements_total"),
+        *(F.count(F.when(F.col("code") == code, 1)).alias(f"invalid_{code}") for code in rejected),
+    ]
+
+
 def collector_counters(validated: DataFrame, aggregates: DataFrame) -> DataFrame:
-    """The collector's counters as rows ``counter, label, total``."""
-    codes = validated.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-    fetched = codes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).select(
-        F.lit("measurements_total").alias("counter"), F.lit("").alias("label"), "total"
-    )
-    invalid = codes.filter("code <> 0").select(
-        F.lit("invalid_total").alias("counter"),
-        reason_message("code").alias("label"),
-        F.col("n").alias("total"),
-    )
+    """The collector's counters as rows ``counter, label, total``.
+
+    One pass over the readings and one over the aggregates. A reason that never
+    occurred has no row.
+    """
+    rows = ["'measurements_total', '', measurements_total"]
+    for code, message in domain.REASONS.items():
+        if code:
+            rows.append(f"'invalid_total', '{message}', invalid_{code}")
+    stacked = f"stack({len(rows)}, {', '.join(rows)}) AS (counter, label, total)"
+    seen = validated.agg(*_code_counts()).selectExpr(stacked)
+    seen = seen.filter((F.col("counter") != "invalid_total") | (F.col("total") > 0))
     emitted = aggregates.agg(F.count(F.lit(1)).alias("total")).select(
         F.lit("aggregates_total").alias("counter"), F.lit("").alias("label"), "total"
     )
-    return fetched.unionByName(invalid).unionByName(emitted)
+    return seen.unionByName(emitted)
 
 
 def observe_quality(validated: DataFrame, name: str = "quality") -> DataFrame:
     """Attach the counters to a batch or stream as observed metrics (no extra pass)."""
-    rejected = [
-        F.count(F.when(F.col("code") == code, 1)).alias(f"invalid_{code}")
-        for code in domain.REASONS
-        if code
-    ]
-    return validated.observe(name, F.count(F.lit(1)).alias("measurements_total"), *rejected)
+    return validated.observe(name, *_code_counts())

@@ -196,6 +196,12 @@ def oracle_sql() -> dict[str, str]:
 
     # Sources, sinks and payloads.
     add("read_aggregates", DAILY, f"select {agg_columns} from daily")
+    add(
+        "register_views",
+        DAILY,
+        """select city, parameter, count(*) as windows, max(aqi) as peak_aqi from daily
+        where parameter <> 'co' group by city, parameter""",
+    )
     add("to_messages", DAILY, f"select location_id as key, {agg_columns} from daily")
     add(
         "read_aggregate_stream",
@@ -268,6 +274,11 @@ def oracle_sql() -> dict[str, str]:
 
     # Roll-up and reports.
     add("tumbling_aggregate", DAILY, f"select {agg_columns} from daily")
+    add(
+        "with_aqi",
+        f"""{DAILY}, again as (select * replace ({aqi_sql('parameter', 'avg')} as aqi) from daily)""",
+        f"select {agg_columns.replace('aqi_category', '')} {category_sql('aqi')} as aqi_category from again",
+    )
     add("by_parameter", DAILY, f"select {agg_columns} from daily where parameter = 'pm25'")
     add("worst_stations", CODED, ranking("cleaned"))
     add("worst_stations_sql", FEED, ranking("feed"))
@@ -363,6 +374,12 @@ def oracle_sql() -> dict[str, str]:
           count(*) {frame} as windows from daily""",
     )
 
+    add(
+        "sliding_summary",
+        f"{DAILY}, {_SLIDES.format(source='daily')}",
+        series("spread", "as_of"),
+    )
+
     # Shards.
     add("assign_shards", SLUGGED, f"select *, {owner('location_id', MEMBERS)} as owner from slugged")
     add(

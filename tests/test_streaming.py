@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazemill import operators as op
 from hazemill import sources, streaming
+from hazemill.plans.board import board_tables, watch
 from hazemill.plans.collect import collect_stream, collect_windows
 from hazemill.schemas import AGGREGATE
 from hazemill.session import shared_dir
@@ -143,3 +144,25 @@ def test_chained_windows(spark, measurements, tmp_path):
     last = emitted.agg(F.max("as_of")).first()[0]
     assert emitted.count()
     assert rows_of(emitted) == rows_of(batch.filter(F.col("as_of") <= F.lit(last)))
+
+
+def test_board(spark, aggregates, tmp_path):
+    df = windows(aggregates)
+    now = START + timedelta(minutes=12)
+    tables = board_tables(df, as_of=now)
+    live = op.within_last(df, as_of=now)
+    assert rows_of(tables["rolling_summary"]) == rows_of(op.rolling_summary(df, as_of=now))
+    assert tables["kpi_summary"].first()["aggregates_in_window"] == live.count()
+    assert sum(r["windows"] for r in tables["aqi_category_share"].collect()) == live.count()
+    for name in ("latest_per_station", "aqi_map", "aqi_timeseries"):
+        assert tables[name].count() > 0
+
+
+def test_watch(spark, aggregates, tmp_path):
+    df = windows(aggregates)
+    folder = shared_dir(spark, "messages")
+    sources.to_messages(df).coalesce(1).write.json(folder)
+    shown = []
+    stream = sources.read_aggregate_stream(spark, folder)
+    watch(stream, str(tmp_path / "checkpoint"), lambda b, i: shown.extend(rows_of(b)), every=None).awaitTermination()
+    assert sorted(shown) == rows_of(streaming.stream_sliding(df, "5 minutes", "1 minute"))
