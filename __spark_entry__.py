@@ -215,6 +215,15 @@ def _stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     return _unzoned(streaming.run_to_table(spark, stream, "tumbling"))
 
 
+def _stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages that were all delivered twice."""
+    folder = shared_dir(spark, "twice")
+    for _ in range(2):
+        sources.to_messages(feed.daily_windows(spark, sf)).write.mode("append").json(folder)
+    stream = streaming.stream_dedup(sources.read_aggregate_stream(spark, folder), delay="60 days")
+    return _unzoned(streaming.run_to_table(spark, stream, "dedup"))
+
+
 def _flush_tail(spark: SparkSession, sf: str) -> DataFrame:
     return streaming.flush_tail(op.valid_readings(feed.readings(spark, sf)), feed.DAY, "1 hour")
 
@@ -289,6 +298,7 @@ def queries() -> dict[str, Query]:
         "sql_functions": _sql_functions,
         # Streams.
         "stream_tumbling": _stream_tumbling,
+        "stream_dedup": _stream_dedup,
         "flush_tail": _flush_tail,
         "stream_sliding": _stream_sliding,
         "stream_chain": _stream_chain,

@@ -92,8 +92,9 @@ def main() -> int:
         taken[name] = round(statistics.median(seconds(job) for _ in range(RUNS)), 4)
 
     inputs = {"collect": n_readings, "report": n_clean, "now": n_clean}
+    on_raw = {"report_clean": n_raw, "report_worst_stations_sql": n_raw}
     rates = {
-        name: round((n_raw if name in ("report_clean", "report_worst_stations_sql") else inputs[name.split("_")[0]]) / spent)
+        name: round(on_raw.get(name, inputs[name.split("_")[0]]) / spent)
         for name, spent in taken.items()
     }
     print(

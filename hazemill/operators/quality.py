@@ -84,21 +84,33 @@ def clean(df: DataFrame) -> DataFrame:
     return only_valid(validate_frame(dedup(df)))
 
 
-def clean_report(df: DataFrame) -> DataFrame:
-    """How many rows ``clean`` drops and why, in one pass over the data."""
-    kept = df.groupBy(*WINDOW_KEYS).agg(
-        F.count(F.lit(1)).alias("_copies"), _survivor(df, WINDOW_KEYS, None).alias("_kept")
+def clean_report(df: DataFrame, cleaned: DataFrame | None = None) -> DataFrame:
+    """How many rows ``clean`` drops and why.
+
+    Given the already ``cleaned`` (stored) rows, only the keys of ``df`` are read and
+    grouped; without them the survivors are found again, in the same single pass.
+    """
+    copies = F.count(F.lit(1)).alias("_copies")
+    if cleaned is None:
+        kept = df.groupBy(*WINDOW_KEYS).agg(copies, _survivor(df, WINDOW_KEYS, None).alias("_kept"))
+        fields = [c for c in df.columns if c not in WINDOW_KEYS]
+        rows = kept.select("_copies", *WINDOW_KEYS, *(F.col(f"_kept.{c}").alias(c) for c in fields))
+        code = _code(rows, "parameter", "avg", "unit", "latitude", "longitude")
+        valid = F.count(F.when(code == 0, 1))
+    else:
+        rows = df.groupBy(*WINDOW_KEYS).agg(copies)
+        valid = F.any_value(cleaned.agg(F.count(F.lit(1))).scalar())
+    counts = rows.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("raw_rows"),
+        F.count(F.lit(1)).alias("_unique"),
+        F.coalesce(valid, F.lit(0)).alias("clean_rows"),
     )
-    fields = [c for c in df.columns if c not in WINDOW_KEYS]
-    rows = kept.select("_copies", *WINDOW_KEYS, *(F.col(f"_kept.{c}").alias(c) for c in fields))
-    valid = F.count(F.when(_code(rows, "parameter", "avg", "unit", "latitude", "longitude") == 0, 1))
-    raw, unique = F.coalesce(F.sum("_copies"), F.lit(0)), F.count(F.lit(1))
-    return rows.agg(
-        raw.alias("raw_rows"),
-        (raw - unique).alias("duplicate_rows"),
-        (unique - valid).alias("invalid_rows"),
-        (raw - valid).alias("dropped_rows"),
-        valid.alias("clean_rows"),
+    return counts.selectExpr(
+        "raw_rows",
+        "raw_rows - _unique AS duplicate_rows",
+        "_unique - clean_rows AS invalid_rows",
+        "raw_rows - clean_rows AS dropped_rows",
+        "clean_rows",
     )
 
 

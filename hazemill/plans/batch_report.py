@@ -46,8 +46,9 @@ def analyze(spark: SparkSession, source: str, target: str) -> dict[str, str]:
     """
     raw = register_views(spark, source)
     write_aggregates(clean(raw), f"{target}/clean")
-    tables = report_tables(read_aggregates(spark, f"{target}/clean"))
-    tables["clean_report"] = clean_report(raw)
+    cleaned = read_aggregates(spark, f"{target}/clean")
+    tables = report_tables(cleaned)
+    tables["clean_report"] = clean_report(raw, cleaned)
     tables["worst_stations_sql"] = worst_stations_sql(spark)
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{target}/{name}")

@@ -1,7 +1,11 @@
-"""The live board: every table of the dashboard, and the stream that feeds it."""
+"""The live board: every table of the dashboard, and the stream that feeds it.
+
+    spark-submit ... -m hazemill.plans.board MESSAGES CHECKPOINT
+"""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -18,6 +22,9 @@ from hazemill.operators import (
     within_last,
 )
 from hazemill.operators.current import SERIES, summarise_series
+from hazemill.session import build_session
+from hazemill.sources.sinks import computed_once
+from hazemill.sources.tables import read_aggregate_stream
 from hazemill.streaming.run import start
 from hazemill.streaming.windows import DELAY, stream_sliding
 
@@ -50,5 +57,24 @@ def watch(
     every: str | None = "3 seconds",
 ) -> StreamingQuery:
     """Hand the changed rolling figures of a stream to ``show`` at every emission."""
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        with computed_once(batch) as once:
+            show(once, batch_id)
+
     figures = stream_sliding(aggregates, span, slide, delay)
-    return start(figures, checkpoint, batch=show, mode="update", every=every)
+    return start(figures, checkpoint, batch=emit, mode="update", every=every)
+
+
+def main(arguments: list[str]) -> int:
+    if len(arguments) != 2:
+        print("usage: board MESSAGES CHECKPOINT", file=sys.stderr)
+        return 2
+    messages, checkpoint = arguments
+    stream = read_aggregate_stream(build_session("hazemill-board"), messages)
+    watch(stream, checkpoint, lambda figures, _: figures.show(50)).awaitTermination()
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main(sys.argv[1:]))

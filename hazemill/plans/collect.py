@@ -1,7 +1,11 @@
-"""The collector job: readings to validated windows to sinks."""
+"""The collector job: readings to validated windows to sinks.
+
+    spark-submit ... -m hazemill.plans.collect READINGS WINDOWS MESSAGES CHECKPOINT
+"""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,7 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 from hazemill import domain
 from hazemill.operators.quality import observe_quality, only_valid, valid_readings, validate_frame
 from hazemill.operators.rollup import tumbling_aggregate
-from hazemill.sources.sinks import Sink, fan_out
+from hazemill.session import build_session
+from hazemill.sources.sinks import MessageSink, ParquetSink, Sink, fan_out
+from hazemill.sources.tables import read_measurement_stream
 from hazemill.streaming.run import start
 from hazemill.streaming.windows import DELAY, stream_tumbling
 
@@ -33,3 +39,18 @@ def collect_stream(
     checked = observe_quality(validate_frame(readings, value="value"))
     windows = stream_tumbling(only_valid(checked), size, delay)
     return start(windows, checkpoint, batch=fan_out(sinks), every=every)
+
+
+def main(arguments: list[str]) -> int:
+    if len(arguments) != 4:
+        print("usage: collect READINGS WINDOWS MESSAGES CHECKPOINT", file=sys.stderr)
+        return 2
+    readings, windows, messages, checkpoint = arguments
+    stream = read_measurement_stream(build_session("hazemill-collect"), readings)
+    sinks = [ParquetSink(windows), MessageSink(messages)]
+    collect_stream(stream, sinks, checkpoint, every=domain.WINDOW_SIZE).awaitTermination()
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main(sys.argv[1:]))

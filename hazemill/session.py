@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -21,17 +22,32 @@ SETTINGS = {
 }
 
 
+# On a cluster shuffles start from many partitions and are merged to the advised size
+# once their real sizes are known; scans read in larger pieces.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(app: str = "hazemill", **extra: str) -> SparkSession:
     """Session with the settings the operators expect (UTC, adaptive execution).
 
-    Master, memory and partition counts come from the cluster or from ``extra``
-    (underscores stand for dots, ``spark_master="local[8]"``).
+    Whatever ``spark-submit`` or ``extra`` sets wins (underscores stand for dots:
+    ``spark_master="local[8]"``).
     """
+    given = SparkConf()
+    chosen = {key.replace("_", "."): value for key, value in extra.items()}
+    master = chosen.get("spark.master", given.get("spark.master", "local"))
+    defaults = SETTINGS if master.startswith("local") else {**SETTINGS, **CLUSTER_SETTINGS}
     builder = SparkSession.builder.appName(app)
-    for key, value in SETTINGS.items():
+    for key, value in defaults.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
+    for key, value in chosen.items():
         builder = builder.config(key, value)
-    for key, value in extra.items():
-        builder = builder.config(key.replace("_", "."), value)
     return builder.getOrCreate()
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -73,6 +74,22 @@ class KafkaSink:
         )
 
 
+@contextmanager
+def computed_once(batch: DataFrame) -> Iterator[DataFrame]:
+    """A micro-batch that is computed, in full, before anything reads it.
+
+    Its state is then saved even if a reader fails or looks at a few rows only.
+    """
+    # Coalescing drops the sort order of the plan, which Spark 4.1 fails to carry into a
+    # cached micro-batch (its columns were renamed on the way).
+    once = batch.coalesce(_ALL_PARTITIONS).persist()
+    try:
+        once.count()
+        yield once
+    finally:
+        once.unpersist()
+
+
 def fan_out(sinks: Sequence[Sink]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that hands each batch to every sink in turn.
 
@@ -81,16 +98,11 @@ def fan_out(sinks: Sequence[Sink]) -> Callable[[DataFrame, int], None]:
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        # Coalescing drops the sort order of the plan, which Spark 4.1 fails to carry
-        # into a cached micro-batch (its columns were renamed on the way).
-        once = batch.coalesce(_ALL_PARTITIONS).persist()
-        try:
+        with computed_once(batch) as once:
             for sink in sinks:
                 try:
                     sink.publish(once, batch_id)
                 except Exception:
                     log.exception("sink %s failed on batch %d", sink.name, batch_id)
-        finally:
-            once.unpersist()
 
     return publish

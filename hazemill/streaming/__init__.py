@@ -5,6 +5,7 @@ from hazemill.streaming.windows import (
     closed_before,
     flush_tail,
     stream_chain,
+    stream_dedup,
     stream_sliding,
     stream_tumbling,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "run_to_table",
     "start",
     "stream_chain",
+    "stream_dedup",
     "stream_sliding",
     "stream_tumbling",
 ]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazemill import domain
 from hazemill.functions.times import interval, micros
 from hazemill.operators.current import SERIES, summarise_series
+from hazemill.operators.quality import WINDOW_KEYS
 from hazemill.operators.rollup import (
     STATION_PARAMETER,
     finish,
@@ -42,6 +45,18 @@ def stream_tumbling(
     return finish(groups.withColumn("event_time", F.window_time("_window")), extra=["event_time"])
 
 
+def stream_dedup(
+    aggregates: DataFrame, keys: Sequence[str] = WINDOW_KEYS, delay: str = DELAY
+) -> DataFrame:
+    """The first row of each key to arrive, for sources that deliver again.
+
+    Keys are remembered until the watermark is ``delay`` past them, so the state does
+    not grow with the stream.
+    """
+    marked = aggregates.withWatermark("window_end", delay)
+    return marked.dropDuplicatesWithinWatermark(list(keys))
+
+
 def _sliding(df: DataFrame, time: str, span: str, slide: str, shift: int) -> DataFrame:
     """Summaries over ``span`` up to each ``slide``, both ends included.
 

@@ -413,7 +413,8 @@ def oracle_sql() -> dict[str, str]:
           {aqi_sql('parameter', 'value', True)} as aqi_closed,
           {category_sql(aqi_sql('parameter', 'value'))} as category,
           cast({code_sql('value')} as integer) as code, {reason_sql(code_sql('value'))} as reason,
-          {round2('(value / 3)')} as window_rounded, round(value / 3, 1) as half_up,
+          -- An integer has no negative zero.
+          {round2('(value / 3)')} + 0.0 as window_rounded, round(value / 3, 1) + 0.0 as half_up,
           case when event_type = 'error' then null else timestamp end as parsed,
           'st-' || lpad(lower(hex(cast({fnv("location || '·' || cast(user_id as varchar)", 32)} as ubigint))), 8, '0') as slug
         from readings""",
@@ -424,7 +425,7 @@ def oracle_sql() -> dict[str, str]:
         f"""select event_id, {aqi_sql('parameter', 'value')} as aqi,
           {category_sql(aqi_sql('parameter', 'value'))} as category,
           cast({code_sql('value')} as integer) as code, {reason_sql(code_sql('value'))} as reason,
-          round(value / 3, 2) as half_up from readings""",
+          round(value / 3, 2) + 0.0 as half_up from readings""",
     )
 
     # Streams: the batch twin, limited to windows the watermark has passed.
@@ -438,6 +439,7 @@ def oracle_sql() -> dict[str, str]:
         f"{DAILY}, {WATERMARK}",
         f"select {agg_columns} from daily, wm where window_end > w",
     )
+    add("stream_dedup", DAILY, f"select {agg_columns} from daily")
     add(
         "stream_sliding",
         f"{DAILY}, {_SLIDES.format(source='daily')}",

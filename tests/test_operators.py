@@ -58,8 +58,13 @@ def test_clean_and_its_report(aggregates):
     }
 
 
+    assert op.clean_report(df, op.clean(df)).collect() == op.clean_report(df).collect()
+
+
 def test_clean_report_of_nothing(aggregates):
-    assert tuple(op.clean_report(aggregates({}).limit(0)).first()) == (0, 0, 0, 0, 0)
+    nothing = aggregates({}).limit(0)
+    assert tuple(op.clean_report(nothing).first()) == (0, 0, 0, 0, 0)
+    assert tuple(op.clean_report(nothing, nothing).first()) == (0, 0, 0, 0, 0)
 
 
 def test_own_rules(spark, measurements):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hazemill import functions as fn
 from hazemill import operators as op
 from hazemill import sources
+from hazemill.plans import board, collect
 from hazemill.plans.batch_report import analyze, main
 from hazemill.session import shared_dir
 
@@ -118,7 +119,7 @@ def test_batch_report(spark, files, tmp_path):
     assert spark.read.parquet(written["pollutant_summary"]).count() == 2
     report = spark.read.parquet(written["clean_report"]).first()
     assert report["clean_rows"] == spark.read.parquet(written["clean"]).count()
-    assert main([]) == 2
+    assert [main([]), collect.main([]), board.main([])] == [2, 2, 2]
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -132,6 +132,17 @@ def test_update_mode_shows_open_windows(spark, aggregates, tmp_path):
     assert rows_of(shown) == rows_of(streaming.stream_sliding(df, "5 minutes", "1 minute"))
 
 
+def test_repeated_deliveries_are_dropped(spark, aggregates):
+    df = windows(aggregates).withColumn("window_start", F.col("window_end") - timedelta(seconds=10))
+    df = op.dedup(df)
+    folder = shared_dir(spark, "twice")
+    for _ in range(3):
+        sources.to_messages(df).coalesce(1).write.mode("append").json(folder)
+    stream = sources.read_aggregate_stream(spark, folder, max_per_trigger=1)
+    kept = streaming.run_to_table(spark, streaming.stream_dedup(stream, delay="1 hour"), "dedup")
+    assert rows_of(kept) == rows_of(df)
+
+
 def test_chained_windows(spark, measurements, tmp_path):
     df = feed(measurements)
     path = stored(df, str(tmp_path / "in"), 1)
@@ -164,5 +175,10 @@ def test_watch(spark, aggregates, tmp_path):
     sources.to_messages(df).coalesce(1).write.json(folder)
     shown = []
     stream = sources.read_aggregate_stream(spark, folder)
-    watch(stream, str(tmp_path / "checkpoint"), lambda b, i: shown.extend(rows_of(b)), every=None).awaitTermination()
+
+    def show(batch, batch_id):
+        assert len(batch.take(1)) <= 1
+        shown.extend(rows_of(batch))
+
+    watch(stream, str(tmp_path / "checkpoint"), show, every=None).awaitTermination()
     assert sorted(shown) == rows_of(streaming.stream_sliding(df, "5 minutes", "1 minute"))
