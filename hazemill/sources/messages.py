@@ -32,6 +32,8 @@ def to_messages(aggregates: DataFrame, ordered: bool = False) -> DataFrame:
 
 def from_messages(messages: DataFrame) -> DataFrame:
     """Aggregate columns of the messages; text that is not JSON is left out."""
-    decoded = messages.select(F.from_json(F.col("value").cast("string"), AGGREGATE).alias("m"))
-    # A malformed text decodes to a struct of NULLs.
-    return decoded.filter(F.col("m.parameter").isNotNull()).select("m.*")
+    decoded = F.from_json(F.col("value").cast("string"), AGGREGATE)
+    # Expanding an array of one parses each text once; a filter on a plain struct would
+    # be pushed below the projection and parse it a second time. A malformed text decodes
+    # to a struct of NULLs.
+    return messages.select(F.inline(F.array(decoded))).filter(F.col("parameter").isNotNull())
