@@ -51,7 +51,8 @@ def main() -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    feed.readings(spark, sf_dir).write.parquet(f"{folder}/readings")
+    # One file per core, as a collector would leave many; the source table is one file.
+    feed.readings(spark, sf_dir).repartition(int(cpus)).write.parquet(f"{folder}/readings")
     readings = spark.read.parquet(f"{folder}/readings")
     sources.write_aggregates(feed.instrument_feed(spark, sf_dir), f"{folder}/raw")
     raw = sources.read_aggregates(spark, f"{folder}/raw")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazemill.functions.numeric import round_half_up
@@ -12,15 +12,13 @@ _WHISKER = 1.5
 _DIGITS = 6
 
 
-def _rank(name: str, upper: bool) -> Column:
-    """Zero-based rank below or above the position (n - 1) * p of a quartile."""
-    position = (F.col("n") - 1) * _QUARTILES[name]
-    return F.ceil(position) if upper else F.floor(position)
+def _position(quartile: str) -> str:
+    """Zero-based position of a quartile among n sorted values; may lie between two."""
+    return f"((n - 1) * {_QUARTILES[quartile]}D)"
 
 
-def _value_at(rank: Column) -> Column:
-    covers = (F.col("_below") <= rank) & (rank < F.col("_below") + F.col("_n"))
-    return F.max(F.when(covers, F.col("_v")))
+def _value_at(rank: str) -> str:
+    return f"max(CASE WHEN _below <= {rank} AND {rank} < _below + _n THEN _v END)"
 
 
 def _exact_quartiles(values: DataFrame) -> DataFrame:
@@ -32,31 +30,34 @@ def _exact_quartiles(values: DataFrame) -> DataFrame:
     bin. No window ever covers a whole pollutant's values.
     """
     bins = values.groupBy("parameter", "_bin").agg(F.sum("_n").alias("_bin_n"))
-    pollutant = Window.partitionBy("parameter")
-    starts = bins.select(
+    starts = bins.selectExpr(
         "parameter",
         "_bin",
-        (F.sum("_bin_n").over(pollutant.orderBy("_bin")) - F.col("_bin_n")).alias("_before"),
-        F.sum("_bin_n").over(pollutant).alias("n"),
+        "sum(_bin_n) OVER (PARTITION BY parameter ORDER BY _bin) - _bin_n AS _before",
+        "sum(_bin_n) OVER (PARTITION BY parameter) AS n",
     )
-    inside = Window.partitionBy("parameter", "_bin").orderBy("_v")
-    ranked = (
-        values.withColumn("_in_bin", F.sum("_n").over(inside) - F.col("_n"))
-        .join(starts, ["parameter", "_bin"])
-        .withColumn("_below", F.col("_before") + F.col("_in_bin"))
+    in_bin = values.selectExpr(
+        "*", "sum(_n) OVER (PARTITION BY parameter, _bin ORDER BY _v) - _n AS _in_bin"
+    )
+    ranked = in_bin.join(starts, ["parameter", "_bin"]).selectExpr(
+        "parameter", "n", "_v", "_n", "_before + _in_bin AS _below"
+    )
+    ends = []
+    for name in _QUARTILES:
+        ends.append(F.expr(_value_at(f"floor({_position(name)})")).alias(f"_{name}_low"))
+        ends.append(F.expr(_value_at(f"ceil({_position(name)})")).alias(f"_{name}_high"))
+    return (
+        ranked.groupBy("parameter", "n")
+        .agg(*ends)
+        .selectExpr(
+            "parameter",
+            "n",
+            *(
+                f"_{q}_low + (_{q}_high - _{q}_low) * ({_position(q)} - floor({_position(q)})) AS {q}"
+                for q in _QUARTILES
+            ),
+        )
     )
-    ends = [
-        _value_at(_rank(name, upper)).alias(f"_{name}_{int(upper)}")
-        for name in _QUARTILES
-        for upper in (False, True)
-    ]
-    found = ranked.groupBy("parameter").agg(F.max("n").alias("n"), *ends)
-    interpolated = {}
-    for name, share in _QUARTILES.items():
-        low, high = F.col(f"_{name}_0"), F.col(f"_{name}_1")
-        part = (F.col("n") - 1) * share - _rank(name, False)
-        interpolated[name] = low + (high - low) * part
-    return found.withColumns(interpolated).select("parameter", "n", *_QUARTILES)
 
 
 def _approximate_quartiles(values: DataFrame, accuracy: int) -> DataFrame:
@@ -64,8 +65,9 @@ def _approximate_quartiles(values: DataFrame, accuracy: int) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("_v", list(_QUARTILES.values()), accuracy).alias("_q"),
     )
-    picks = {name: F.col("_q")[i] for i, name in enumerate(_QUARTILES)}
-    return found.withColumns(picks).select("parameter", "n", *_QUARTILES)
+    return found.selectExpr(
+        "parameter", "n", *(f"_q[{i}] AS {name}" for i, name in enumerate(_QUARTILES))
+    )
 
 
 def pollutant_distribution(
@@ -77,38 +79,37 @@ def pollutant_distribution(
     ``approximate=True`` takes the quartiles from a sketch of bounded size, for values
     that repeat too rarely to be counted. Numbers are rounded to six decimals.
     """
-    finite = df.filter(F.col("parameter").isNotNull() & (F.abs("avg") < float("inf"))).select(
-        "parameter", F.col("avg").alias("_v")
+    finite = df.filter("parameter IS NOT NULL AND abs(avg) < DOUBLE('Infinity')").selectExpr(
+        "parameter", "avg AS _v"
     )
     # All branches below start from these counts. The bin is declared non-null, or the
     # joins would add different null filters and each branch would count for itself.
     values = (
         finite.groupBy("parameter", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", F.coalesce(F.floor("_v"), F.lit(0)))
+        .selectExpr("*", "coalesce(floor(_v), 0) AS _bin")
     )
     box = _approximate_quartiles(finite, accuracy) if approximate else _exact_quartiles(values)
-    reach = (F.col("q3") - F.col("q1")) * _WHISKER
-    box = box.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
-    within = F.col("_v").between(F.col("_low"), F.col("_high"))
+    box = box.selectExpr(
+        "*", f"q1 - {_WHISKER}D * (q3 - q1) AS _low", f"q3 + {_WHISKER}D * (q3 - q1) AS _high"
+    )
+    within = "_v BETWEEN _low AND _high"
     # The box of a pollutant is the same on all its rows, so it may serve as grouping key.
     whiskers = (
         values.join(box, "parameter")
         .groupBy(*box.columns)
         .agg(
             F.min("_v").alias("min"),
-            F.min(F.when(within, F.col("_v"))).alias("whisker_low"),
-            F.max(F.when(within, F.col("_v"))).alias("whisker_high"),
+            F.expr(f"min(CASE WHEN {within} THEN _v END)").alias("whisker_low"),
+            F.expr(f"max(CASE WHEN {within} THEN _v END)").alias("whisker_high"),
             F.max("_v").alias("max"),
-            F.coalesce(F.sum(F.when(~within, F.col("_n"))), F.lit(0)).alias("outliers"),
+            F.expr(f"sum(if({within}, 0L, _n))").alias("outliers"),
         )
     )
     numbers = ["min", "whisker_low", "q1", "median", "q3", "whisker_high", "max"]
-    return (
-        whiskers.select(
-            "parameter",
-            F.col("n").alias("windows"),
-            *(round_half_up(f"`{c}`", _DIGITS).alias(c) for c in numbers),
-            "outliers",
-        ).orderBy("parameter")
-    )
+    return whiskers.select(
+        "parameter",
+        F.col("n").alias("windows"),
+        *(round_half_up(f"`{c}`", _DIGITS).alias(c) for c in numbers),
+        "outliers",
+    ).orderBy("parameter")

@@ -71,8 +71,10 @@ def readings_from(events: DataFrame, places: DataFrame) -> DataFrame:
     """Measurements (some faulty) plus ``event_id`` and ``user_id``, batch or stream."""
     # A generator parses each text once; predicates on k cannot be pushed into it.
     numbered = events.select(
-        "*", (F.col("user_id") % STATIONS).alias("site"), F.json_tuple("props", "k").alias("_k")
-    ).withColumn("k", F.col("_k").cast("int"))
+        "*",
+        (F.col("user_id") % STATIONS).alias("site"),
+        F.inline(F.array(F.from_json("props", "k int"))),
+    )
     return join_dimension(numbered, places, "site").selectExpr(*_READING)
 
 
