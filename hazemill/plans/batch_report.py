@@ -1,6 +1,6 @@
 """The batch analysis job: aggregates to a cleaned table to report tables.
 
-    spark-submit --py-files ... -m hazemill.plans.batch_report AGGREGATES OUTPUT
+    python -m hazemill.plans.batch_report AGGREGATES OUTPUT
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """The live board: every table of the dashboard, and the stream that feeds it.
 
-    spark-submit ... -m hazemill.plans.board MESSAGES CHECKPOINT
+    python -m hazemill.plans.board MESSAGES CHECKPOINT
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """The collector job: readings to validated windows to sinks.
 
-    spark-submit ... -m hazemill.plans.collect READINGS WINDOWS MESSAGES CHECKPOINT
+    python -m hazemill.plans.collect READINGS WINDOWS MESSAGES CHECKPOINT
 """
 
 from __future__ import annotations
