@@ -239,8 +239,23 @@ def _stream_chain(spark: SparkSession, sf: str) -> DataFrame:
     return _unzoned(streaming.run_to_table(spark, stream, "chain"))
 
 
+try:  # the training-data operators can be left out
+    from hazemill.llm.queries import llm_oracle_sql, llm_queries
+except ImportError:
+
+    def llm_queries() -> dict[str, Query]:
+        return {}
+
+    def llm_oracle_sql() -> dict[str, str]:
+        return {}
+
+
 def queries() -> dict[str, Query]:
     """Every operator over the driver's tables."""
+    return {**_sensor_queries(), **llm_queries()}
+
+
+def _sensor_queries() -> dict[str, Query]:
     return {
         # Sources, sinks and payloads.
         "read_aggregates": _read_aggregates,
@@ -307,4 +322,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB twin per query; ``preview`` has none, as any rows are right."""
-    return oracle.oracle_sql()
+    return {**oracle.oracle_sql(), **llm_oracle_sql()}
