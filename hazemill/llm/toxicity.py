@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -15,13 +14,15 @@ from pyspark.sql import functions as F
 from hazemill.llm.common import map_rows
 
 #: Labelled documents that the field is fitted on, per class; the bound on what the driver sees.
-SAMPLE = 1_200
+SAMPLE = 1_000
 THRESHOLD = 0.7
 #: With hundreds of thousands of features some differ by chance; at 35 hardly any does.
 EVIDENCE = 35
 _WORD = re.compile(r"\w+")
 #: Words whose features are kept at hand in a task.
-_KEPT = 300_000
+_KEPT = 200_000
+#: Characters that are tagged together.
+_TOGETHER = 300_000
 
 
 def token_features(word: str) -> tuple[str, ...]:
@@ -132,79 +133,108 @@ class ToxicField:
         starts = marks[:-1][np.diff(marks) > 0]
         return marginals(unary, starts, self.transition)[0], marks
 
-    @staticmethod
-    def summary(toxic: np.ndarray, marks: np.ndarray) -> np.ndarray:
-        """Per text: its largest marginal, the log of its expected toxic tokens, their share."""
-        out = np.zeros((len(marks) - 1, 3))
-        full = np.flatnonzero(np.diff(marks))
-        if len(full):
-            out[full, 0] = np.maximum.reduceat(toxic, marks[full])
-            total = np.add.reduceat(toxic, marks[full])
-            out[full, 1] = np.log1p(total)
-            out[full, 2] = total / np.diff(marks)[full] * 100
+    def tagged(self, texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``tag`` over neighbouring texts of together some 300,000 characters, which bounds
+        memory: ``(first, end, marginals, marks)``. A longer text is one by itself."""
+        first, room = 0, _TOGETHER
+        for i, text in enumerate(texts):
+            room -= len(text or "")
+            if room <= 0 or i == len(texts) - 1:
+                yield first, i + 1, *self.tag([_words(t) for t in texts[first : i + 1]])
+                first, room = i + 1, _TOGETHER
+
+    def summarize(self, texts: list[str | None]) -> np.ndarray:
+        """Per text: its largest marginal and the log of its expected toxic tokens."""
+        out = np.zeros((len(texts), 2))
+        for first, end, toxic, marks in self.tagged(texts):
+            out[first:end] = _summary(toxic, marks)
         return out
 
     def scores(self, summary: np.ndarray) -> np.ndarray:
-        return _sigmoid(summary[:, :2] @ self.score[1:] + self.score[0])
+        return _sigmoid(summary @ self.score[1:] + self.score[0])
+
+
+def _summary(toxic: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(marks) - 1, 2))
+    full = np.flatnonzero(np.diff(marks))
+    if len(full):
+        out[full, 0] = np.maximum.reduceat(toxic, marks[full])
+        out[full, 1] = np.log1p(np.add.reduceat(toxic, marks[full]))
+    return out
 
 
 def _words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def _fit_field(texts: list[list[str]], toxic: np.ndarray, rounds: int) -> ToxicField:
+class _Corpus:
+    """Texts as numbers: every distinct word once, with the numbers of its features."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        vocabulary: dict[str, int] = {}
+        self.docs = [
+            np.array([vocabulary.setdefault(w, len(vocabulary)) for w in _words(t)], dtype=np.int32)
+            for t in texts
+        ]
+        self.words = list(vocabulary)
+        names: dict[str, int] = {}
+        self.features = np.array(
+            [[names.setdefault(x, len(names)) for x in token_features(w)] for w in self.words],
+            dtype=np.int32,
+        ).reshape(len(self.words), len(token_features("")))
+        self.names = list(names)
+
+    def frequencies(self, docs: list[int]) -> np.ndarray:
+        """Of each feature: in how many of the documents it occurs."""
+        out = np.zeros(len(self.names), dtype=np.int64)
+        for i in docs:
+            out[np.unique(self.features[np.unique(self.docs[i])])] += 1
+        return out
+
+
+def _fit_field(corpus: _Corpus, docs: np.ndarray, toxic: np.ndarray, rounds: int) -> ToxicField:
     """Fits the chain to tokens labelled from their documents' labels.
 
     A token of a toxic document is labelled toxic if one of its features is at least 20
     times as common, by documents, among toxic documents as among clean ones and that is no
     chance (likelihood ratio of ``EVIDENCE`` or more); all other tokens are labelled clean.
     """
-    seen = {True: Counter(), False: Counter()}
-    for words, y in zip(texts, toxic):
-        seen[bool(y)].update({x for w in set(words) for x in token_features(w)})
     n1, n0 = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
-    marks = set()
-    for x, c in seen[True].items():
-        clean = seen[False][x]
-        if c >= 3 and c / n1 >= 20 * ((clean + 0.5) / n0):
-            usual = (c + clean) / (n1 + n0)
-            ratio = c * np.log(c / (usual * n1)) + (clean * np.log(clean / (usual * n0)) if clean else 0)
-            if 2 * ratio >= EVIDENCE:
-                marks.add(x)
-    names = sorted(marks | {x for x, c in seen[False].items() if c >= 0.02 * n0})
-    index = {x: i for i, x in enumerate(names)}
-    ids, flat, at = [], [], {}
-    labels: list[int] = []
-    for words, y in zip(texts, toxic):
-        for w in words:
-            if w not in at:
-                at[w] = len(ids)
-                ids.append([index[x] for x in token_features(w) if x in index])
-                flat.append(any(x in marks for x in token_features(w)))
-            labels.append(int(y) and flat[at[w]])
-    tokens = np.array([at[w] for words in texts for w in words], dtype=np.int64)
-    y = np.array(labels, dtype=float)
-    lengths = np.array([len(words) for words in texts])
-    starts = np.cumsum([0, *lengths])[:-1][lengths > 0]
-    model = ToxicField({}, 0.0, np.zeros((2, 2)))
+    c1 = corpus.frequencies(docs[toxic == 1])
+    c0 = corpus.frequencies(docs[toxic == 0])
+    usual = np.maximum(c1 + c0, 1) / (n1 + n0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.where(c1, c1 * np.log(c1 / (usual * n1)), 0) + np.where(
+            c0, c0 * np.log(c0 / (usual * n0)), 0
+        )
+    marks = (c1 >= 3) & (c1 / n1 >= 20 * (c0 + 0.5) / n0) & (2 * ratio >= EVIDENCE)
+    used = np.flatnonzero(marks | (c0 >= 0.02 * n0))
+    tokens = np.concatenate([corpus.docs[i] for i in docs]) if len(docs) else np.zeros(0, np.int32)
     if len(tokens) == 0:
-        return model
-    rows = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
-    cols = np.array([i for x in ids for i in x], dtype=np.int64)
+        return ToxicField({}, 0.0, np.zeros((2, 2)))
+    lengths = np.array([len(corpus.docs[i]) for i in docs])
+    starts = np.cumsum([0, *lengths])[:-1][lengths > 0]
+    y = (marks[corpus.features].any(axis=1)[tokens] & (np.repeat(toxic, lengths) == 1)).astype(float)
+    number = np.full(len(corpus.names), -1)
+    number[used] = np.arange(len(used))
+    grid = number[corpus.features]
+    rows, slots = np.nonzero(grid >= 0)
+    cols = grid[rows, slots]
     real = np.zeros((2, 2))
     begins = np.zeros(len(y), bool)
     begins[starts] = True
     pair = np.flatnonzero(~begins)
     np.add.at(real, (y[pair - 1].astype(int), y[pair].astype(int)), 1)
     # Gradient ascent on the log-likelihood with a step of its own per weight.
-    weight, bias, move = np.zeros(len(names)), -2.0, np.zeros((2, 2))
-    power = [np.full(len(names), 1e-8), 1e-8, np.full((2, 2), 1e-8)]
+    size = len(corpus.words)
+    weight, bias, move = np.zeros(len(used)), -2.0, np.zeros((2, 2))
+    power = [np.full(len(used), 1e-8), 1e-8, np.full((2, 2), 1e-8)]
     for _ in range(rounds):
-        per_word = np.bincount(rows, weight[cols], minlength=len(ids)) + bias
-        p, pairs = marginals(per_word[tokens], starts, move, joint=True)
-        error = np.bincount(tokens, y - p, minlength=len(ids))
+        per_word = np.bincount(rows, weight[cols], minlength=size) + bias
+        p, pairs = _in_parts(per_word, tokens, starts, move)
+        error = np.bincount(tokens, y - p, minlength=size)
         slopes = [
-            np.bincount(cols, error[rows], minlength=len(names)) - 0.1 * weight,
+            np.bincount(cols, error[rows], minlength=len(used)) - 0.1 * weight,
             error.sum(),
             real - pairs - 0.1 * move,
         ]
@@ -213,18 +243,30 @@ def _fit_field(texts: list[list[str]], toxic: np.ndarray, rounds: int) -> ToxicF
         weight = weight + 0.7 * slopes[0] / np.sqrt(power[0])
         bias = bias + 0.7 * slopes[1] / np.sqrt(power[1])
         move = move + 0.7 * slopes[2] / np.sqrt(power[2])
-    model.weights = {x: float(w) for x, w in zip(names, weight) if abs(w) > 1e-6}
-    model.bias, model.transition = float(bias), move
-    return model
+    weights = {corpus.names[i]: float(w) for i, w in zip(used, weight) if abs(w) > 1e-6}
+    return ToxicField(weights, float(bias), move)
+
+
+def _in_parts(
+    per_word: np.ndarray, tokens: np.ndarray, starts: np.ndarray, move: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of all chains, some 100,000 tokens at a time to bound memory."""
+    cuts = starts[np.unique(np.searchsorted(starts, np.arange(0, len(tokens), 100_000)).clip(0, len(starts) - 1))]
+    p, pairs = np.empty(len(tokens)), np.zeros((2, 2))
+    for a, b in zip(cuts, [*cuts[1:], len(tokens)]):
+        mine = starts[(starts >= a) & (starts < b)] - a
+        p[a:b], more = marginals(per_word[tokens[a:b]], mine, move, joint=True)
+        pairs += more
+    return p, pairs
 
 
 def fit_field(texts: list[str | None], toxic: list[int], rounds: int = 18) -> ToxicField:
     """Field from two thirds of the texts, document score from the marginals on the rest."""
-    words, y = [_words(t) for t in texts], np.array(toxic, dtype=float)
-    rest = np.arange(len(words)) % 3 == 0
-    model = _fit_field([w for w, r in zip(words, rest) if not r], y[~rest], rounds)
+    corpus, y = _Corpus(texts), np.array(toxic, dtype=float)
+    rest = np.arange(len(texts)) % 3 == 0
+    model = _fit_field(corpus, np.flatnonzero(~rest), y[~rest], rounds)
     if rest.any():
-        found = model.summary(*model.tag([w for w, r in zip(words, rest) if r]))[:, :2]
+        found = model.summarize([texts[i] for i in np.flatnonzero(rest)])[:, :2]
         x = np.hstack([np.ones((len(found), 1)), found])
         goal = y[rest]
         beta = np.zeros(3)
@@ -287,15 +329,14 @@ def score(docs: DataFrame, model: ToxicField, threshold: float = THRESHOLD) -> D
         field_ = shared.value
         for batch in batches:
             texts = batch["text"].to_pylist()
-            words = [_words(t) for t in texts]
-            toxic, marks = field_.tag(words)
-            scores = field_.scores(field_.summary(toxic, marks))
-            n, spans = [0] * len(texts), [""] * len(texts)
-            hits = np.flatnonzero(toxic >= 0.5)
-            owners = np.searchsorted(marks, hits, side="right") - 1
-            for doc in np.unique(owners):
-                mine = hits[owners == doc] - marks[doc]
-                n[doc], spans[doc] = len(mine), _spans(texts[doc], mine)
+            n, spans, scores = [0] * len(texts), [""] * len(texts), np.zeros(len(texts))
+            for first, end, toxic, marks in field_.tagged(texts):
+                scores[first:end] = field_.scores(_summary(toxic, marks))
+                hits = np.flatnonzero(toxic >= 0.5)
+                owners = np.searchsorted(marks, hits, side="right") - 1
+                for doc in np.unique(owners):
+                    mine = hits[owners == doc] - marks[doc]
+                    n[first + doc], spans[first + doc] = len(mine), _spans(texts[first + doc], mine)
             yield {"doc_id": batch["doc_id"], "score": scores, "n_toxic": n, "spans": spans}
 
     given = docs.select(
@@ -343,7 +384,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
     @F.pandas_udf("double")
     def toxicity(texts: pd.Series) -> pd.Series:
-        toxic, marks = shared.value.tag([_words(t) for t in texts])
-        return pd.Series(shared.value.scores(shared.value.summary(toxic, marks)))
+        return pd.Series(shared.value.scores(shared.value.summarize(list(texts))))
 
     return docs.filter(toxicity(F.col("text").cast("string")) < threshold)
