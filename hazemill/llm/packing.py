@@ -151,9 +151,9 @@ def pack(cut: DataFrame, size: int = 2048) -> DataFrame:
     that are equal in all columns are interchangeable; every row gets a place of its own.
     """
     spark = cut.sparkSession
-    cut = stored(cut, "pieces")
-    part = F.expr(f"pmod(xxhash64(doc_id, piece, ids_crc32), {PARTS})").cast("int")
-    dealt = cut.withColumn("_part", part)
+    part = F.expr(f"pmod(xxhash64(doc_id, piece, ids_crc32, spark_partition_id()), {PARTS})")
+    # The part is written down, so both uses below see the same one.
+    dealt = stored(cut.withColumn("_part", part.cast("int")), "pieces")
     sizes = dealt.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = stored(sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), "lengths")
