@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazemill.llm import itq, packing, pii, secrets, sharding, simhash, topk, toxicity
+from hazemill.llm import html, itq, packing, pieces, pii, secrets, sharding, simhash, topk, toxicity
 from hazemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.vector_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -39,6 +43,11 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), 24)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_texts(table(spark, sf_dir, "documents"), path)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -51,11 +60,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_itq": op1_itq,
+        "op2_main_text": op2_main_text,
         "op3_top_k": op3_top_k,
         "op4_secrets": op4_secrets,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_simhash": op6_simhash,
         "op7_ring_shards": op7_ring_shards,
+        "op8_sentencepiece": op8_sentencepiece,
         "op9_toxicity": op9_toxicity,
         "op10_pii": op10_pii,
         "pipeline": corpus_pipeline.run,
