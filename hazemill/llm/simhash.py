@@ -109,14 +109,16 @@ def drop_near_copies(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFr
     """One document of each near-copy group, with all columns of ``docs``.
 
     The smallest ``doc_id`` of a group stays; of several rows with that id the one with the
-    smallest text. Rows without ``doc_id`` cannot be told apart and all stay.
+    smallest text. Rows without ``doc_id`` cannot be told apart and all stay. Documents meet
+    the ids that stay in a sort-merge join at every size, so that cost grows evenly and a
+    skewed partition can be split.
     """
     groups = simhash_groups(docs, words, radius).filter("doc_id is not null")
     kept = groups.groupBy("doc_id").agg(
         F.count("*").alias("times"), F.max(F.expr("doc_id = component_id")).alias("stays")
     )
     kept = stored(kept.filter("stays").drop("stays"), "simhash-kept")
-    out = docs.join(kept.filter("times = 1").select("doc_id"), "doc_id", "left_semi")
+    out = docs.join(kept.filter("times = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     repeated = kept.filter("times > 1").select("doc_id")
     if not repeated.isEmpty():
         order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
