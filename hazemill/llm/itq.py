@@ -31,13 +31,13 @@ CHUNK = 4_096
 
 @dataclass
 class Quantiser:
-    """Centre and rotation of one vector length."""
+    """Rotation of one vector length. Nothing is subtracted before it: that would change
+    the angles, which the codes are to keep."""
 
-    centre: np.ndarray
     rotation: np.ndarray
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
-        on = (unit - self.centre) @ self.rotation > 0
+        on = unit @ self.rotation > 0
         return np.packbits(on, axis=1, bitorder="little").view("<u8")[:, 0].view(np.int64)
 
 
@@ -49,11 +49,9 @@ def learn(unit: np.ndarray, rounds: int = 40, seed: int = 7) -> Quantiser:
     """
     rng = np.random.default_rng(seed)
     size = unit.shape[1]
-    centre = unit.mean(axis=0)
-    centred = unit - centre
-    _, axes = np.linalg.eigh(centred.T @ centred)
+    _, axes = np.linalg.eigh(unit.T @ unit)
     axes = axes[:, ::-1][:, :BITS]
-    main = centred @ axes
+    main = unit @ axes
     parts = []
     while sum(p.shape[1] for p in parts) < BITS:
         turn, _ = np.linalg.qr(rng.normal(size=(axes.shape[1], axes.shape[1])))
@@ -62,7 +60,7 @@ def learn(unit: np.ndarray, rounds: int = 40, seed: int = 7) -> Quantiser:
             u, _, v = np.linalg.svd(corners.T @ main)
             turn = (u @ v).T
         parts.append(axes @ turn)
-    return Quantiser(centre, np.hstack(parts)[:, :BITS].reshape(size, BITS))
+    return Quantiser(np.hstack(parts)[:, :BITS].reshape(size, BITS))
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:

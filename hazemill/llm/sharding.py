@@ -29,13 +29,21 @@ class Move:
 
 
 def ring_nodes(shards: int, virtual: int = VIRTUAL, ring: int = RING) -> list[tuple[int, int]]:
-    """``(place, shard)`` of every virtual node, clockwise. A place that is taken by an
-    earlier shard stays its own, so one more shard moves nothing between the others."""
+    """``(place, shard)`` of every virtual node, clockwise. A node whose place is taken by
+    an earlier shard tries another, so one more shard moves nothing between the others."""
+    if shards * virtual > ring // 2:
+        raise ValueError("the ring needs two places or more per virtual node")
     taken: dict[int, int] = {}
     for shard in range(shards):
         for copy in range(virtual):
-            digest = hashlib.blake2b(f"{shard}/{copy}".encode(), digest_size=8).digest()
-            taken.setdefault(int.from_bytes(digest, "little") % ring, shard)
+            for attempt in range(ring):
+                name = f"{shard}/{copy}/{attempt}".encode()
+                place = int.from_bytes(hashlib.blake2b(name, digest_size=8).digest(), "little") % ring
+                if place not in taken:
+                    taken[place] = shard
+                    break
+            else:
+                raise ValueError("no free place on the ring")
     return sorted(taken.items())
 
 
