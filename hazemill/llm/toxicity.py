@@ -16,7 +16,8 @@ from hazemill.llm.common import map_rows
 #: Labelled documents that the field is fitted on, per class; the bound on what the driver sees.
 SAMPLE = 1_000
 THRESHOLD = 0.7
-#: With hundreds of thousands of features some differ by chance; at 35 hardly any does.
+#: With hundreds of thousands of features some differ by chance; at 35 hardly any does. A
+#: small sample cannot give as much: it is asked for a twentieth of its toxic documents.
 EVIDENCE = 35
 _WORD = re.compile(r"\w+")
 #: Words whose features are kept at hand in a task.
@@ -197,7 +198,7 @@ def _fit_field(corpus: _Corpus, docs: np.ndarray, toxic: np.ndarray, rounds: int
 
     A token of a toxic document is labelled toxic if one of its features is at least 20
     times as common, by documents, among toxic documents as among clean ones and that is no
-    chance (likelihood ratio of ``EVIDENCE`` or more); all other tokens are labelled clean.
+    chance (by a likelihood ratio, see ``EVIDENCE``); all other tokens are labelled clean.
     """
     n1, n0 = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
     c1 = corpus.frequencies(docs[toxic == 1])
@@ -207,7 +208,8 @@ def _fit_field(corpus: _Corpus, docs: np.ndarray, toxic: np.ndarray, rounds: int
         ratio = np.where(c1, c1 * np.log(c1 / (usual * n1)), 0) + np.where(
             c0, c0 * np.log(c0 / (usual * n0)), 0
         )
-    marks = (c1 >= 3) & (c1 / n1 >= 20 * (c0 + 0.5) / n0) & (2 * ratio >= EVIDENCE)
+    evidence = min(EVIDENCE, max(12, n1 / 20))
+    marks = (c1 >= 3) & (c1 / n1 >= 20 * (c0 + 0.5) / n0) & (2 * ratio >= evidence)
     used = np.flatnonzero(marks | (c0 >= 0.02 * n0))
     tokens = np.concatenate([corpus.docs[i] for i in docs]) if len(docs) else np.zeros(0, np.int32)
     if len(tokens) == 0:
