@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -82,8 +83,8 @@ def _register_views(spark: SparkSession, sf: str) -> DataFrame:
     sources.register_views(spark, _stored_daily(spark, sf), "daily_windows")
     return spark.sql(
         "SELECT city, parameter, count(*) AS windows, max(aqi) AS peak_aqi FROM daily_windows"
-        " WHERE parameter <> :skipped GROUP BY city, parameter",
-        args={"skipped": "co"},
+        " WHERE window_end > :since GROUP BY city, parameter",
+        args={"since": datetime(1970, 1, 1)},
     )
 
 
@@ -291,7 +292,9 @@ def _sensor_queries() -> dict[str, Query]:
         "pollutant_distribution": _on_cleaned(op.pollutant_distribution),
         "aqi_timeseries": _on_cleaned(op.aqi_timeseries),
         "distinct_values": _on_cleaned(lambda df: op.distinct_values(df, "city", "parameter")),
-        "preview": _on_daily(op.preview),
+        "preview": _on_daily(
+            lambda df: op.preview(df, 5, ["window_end", "location_id", "parameter", "unit"])
+        ),
         # The present state.
         "latest_per_station": _on_daily(op.latest_per_station),
         "aqi_map": _on_daily(op.aqi_map),
@@ -321,5 +324,5 @@ def _sensor_queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB twin per query; ``preview`` has none, as any rows are right."""
+    """DuckDB twin per query that SQL can express."""
     return {**oracle.oracle_sql(), **llm_oracle_sql()}

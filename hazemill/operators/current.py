@@ -49,11 +49,14 @@ def kpi_summary(df: DataFrame, approximate: bool = False) -> DataFrame:
     One pass: rows are reduced to one per station and pollutant, and the three figures
     come from those. A missing station id counts as one station. Of two rows with the
     same end the higher index counts; equal indexes of stations are decided by city,
-    then station id. ``approximate`` estimates the station count.
+    then station id. A station whose newest index is missing is not rated.
+    ``approximate`` estimates the station count.
     """
-    # Time and index (at most 500) in one integer: the reduction then keeps fixed-width
-    # buffers and runs in hash tables, where a struct would make it sort all rows.
-    age = F.unix_micros(F.col("window_end").cast("timestamp")) * 1024 + F.col("aqi")
+    # Time and, below it, the index: the reduction then keeps fixed-width buffers and runs in
+    # hash tables, where a struct would make it sort all rows. The index only decides between
+    # equal times, a missing one ranks lowest, and no index can outweigh a time.
+    tie = F.least(F.greatest(F.coalesce("aqi", F.lit(-1)) + 1, F.lit(0)), F.lit(1023))
+    age = F.unix_micros(F.col("window_end").cast("timestamp")) * 1024 + tie
     newest = df.groupBy(*SENSOR).agg(
         F.max_by("aqi", age).alias("_aqi"), F.count(F.lit(1)).alias("_n")
     )

@@ -29,9 +29,9 @@ def by_parameter(df: DataFrame, parameter: str = "pm25") -> DataFrame:
     return df.filter(F.col("parameter") == parameter)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """Any ``n`` rows."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
+    """``n`` rows: the first in the order of the given columns, any without them."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:

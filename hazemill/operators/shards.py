@@ -32,9 +32,13 @@ def assigned_readings(
 
 
 def shard_sizes(stations: DataFrame, members: Sequence[str]) -> DataFrame:
-    """Stations per owner."""
+    """Stations per member, members without stations included."""
     owned = assign_shards(stations, members).groupBy("owner")
-    return owned.agg(F.count(F.lit(1)).alias("stations")).orderBy("owner")
+    counts = owned.agg(F.count(F.lit(1)).alias("stations"))
+    # The list of members is a parameter, so its join side is bounded.
+    listed = stations.sparkSession.createDataFrame([(m,) for m in dict.fromkeys(members)], "owner string")
+    joined = listed.join(counts, "owner", "left")
+    return joined.select("owner", F.coalesce("stations", F.lit(0)).alias("stations")).orderBy("owner")
 
 
 def shard_moves(stations: DataFrame, before: Sequence[str], after: Sequence[str]) -> DataFrame:

@@ -72,7 +72,7 @@ def main(arguments: list[str]) -> int:
         return 2
     messages, checkpoint = arguments
     stream = read_aggregate_stream(build_session("hazemill-board"), messages)
-    watch(stream, checkpoint, lambda figures, _: figures.show(50)).awaitTermination()
+    watch(stream, checkpoint, lambda figures, _: figures.show(figures.count(), truncate=False)).awaitTermination()
     return 0
 
 

@@ -200,7 +200,7 @@ def oracle_sql() -> dict[str, str]:
         "register_views",
         DAILY,
         """select city, parameter, count(*) as windows, max(aqi) as peak_aqi from daily
-        where parameter <> 'co' group by city, parameter""",
+        group by city, parameter""",
     )
     add("to_messages", DAILY, f"select location_id as key, {agg_columns} from daily")
     add(
@@ -347,6 +347,12 @@ def oracle_sql() -> dict[str, str]:
           (select count(*) from daily) as aggregates_in_window, aqi as worst_pm25_aqi,
           city as worst_pm25_city, location_id as worst_pm25_location_id from worst""",
     )
+    add(
+        "preview",
+        DAILY,
+        f"""select {agg_columns} from daily
+        order by window_end, location_id, parameter, unit limit 5""",
+    )
     add(
         "recent_windows",
         DAILY,
@@ -385,7 +391,9 @@ def oracle_sql() -> dict[str, str]:
     add(
         "shard_sizes",
         SLUGGED,
-        f"""select {owner('location_id', MEMBERS)} as owner, count(*) as stations from slugged
+        f"""select owner, count(location_id) as stations
+        from (select unnest([{', '.join(repr(m) for m in MEMBERS)}]) as owner) left join
+          (select location_id, {owner('location_id', MEMBERS)} as owner from slugged) using (owner)
         group by 1 order by 1""",
     )
     add(

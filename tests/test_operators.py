@@ -380,3 +380,20 @@ def test_readings_of_a_member(spark, measurements):
 def test_scores_compare_as_unsigned(spark):
     high = spark.range(1).select(fnv1a_64(F.lit("foobar")).alias("h")).first()["h"]
     assert high["high"] > 2**31
+
+
+def test_members_without_stations_are_listed(spark):
+    stations = spark.createDataFrame([("st-1",)], "location_id string")
+    sizes = op.shard_sizes(stations, ["a", "b", "c"]).collect()
+    assert [r.owner for r in sizes] == ["a", "b", "c"]
+    assert sorted(r.stations for r in sizes) == [0, 0, 1]
+
+
+def test_a_missing_newest_index_is_not_replaced_by_an_older_one(aggregates):
+    rows = aggregates(
+        {"window_end": at("2024-01-01T00:00:10"), "aqi": 300},
+        {"window_end": at("2024-01-01T00:00:20"), "aqi": None},
+        {"window_end": at("2024-01-01T00:00:10"), "aqi": 2000, "location_id": "st-2"},
+        {"window_end": at("2024-01-01T00:00:20"), "aqi": 40, "location_id": "st-2"},
+    )
+    assert op.kpi_summary(rows).first().worst_pm25_aqi == 40
