@@ -1,9 +1,11 @@
 """Rounding and order-independent sums.
 
 A double sum depends on the order in which partitions arrive, so a mean that lies on
-a rounding tie could change from run to run. ``exact_sum`` adds whole parts and
-millionths as two 64-bit integers instead: exact, independent of order, and kept in
-fixed-width aggregation buffers (a decimal sum costs about twice as much time).
+a rounding tie could change from run to run. ``exact_sum`` cuts each double at fixed
+powers of two, which loses nothing, and adds the pieces: three 64-bit integers hold the
+whole part and the fraction, the few bits above and below them are doubles that are
+multiples of one power of two and so add without rounding too. All buffers have a
+fixed width (a decimal sum costs about twice as much time).
 
 Arguments are SQL expressions, usually column names.
 """
@@ -15,24 +17,30 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Below this magnitude a value is summed as integers. 9.2e18 / 1e6 leaves room for
-# nine trillion such values in one group.
-READING_LIMIT = 1e6
-# Sums of plausible readings stay below readings * 3000, far from 9.2e18.
-TOTAL_LIMIT = 1e15
+# Bits of a piece: 2^39 pieces add up in 64 bits.
+_BITS = 24
 
 
 class Parts(NamedTuple):
-    """A value (or a sum of values) as whole part, millionths and the rest.
+    """A value (or a sum of values), cut at powers of 2^24.
 
-    ``wide`` carries what does not fit (NaN, infinities, huge values), so that none
-    of it is lost silently. It is NULL for a NULL value, and so is the total of a
-    group without values.
+    ``above`` is the multiple of 2^24 and carries NaN and infinities, ``whole`` the rest
+    of the whole part; ``frac1`` to ``frac3`` count units of 2^-24, 2^-48 and 2^-72, and
+    ``below`` is what is left. Pieces have the sign of the value. They are NULL for a
+    NULL value, and so is the total of a group without values.
     """
 
+    above: str
     whole: str
-    micros: str
-    wide: str
+    frac1: str
+    frac2: str
+    frac3: str
+    below: str
+
+
+PART_TYPES = Parts("DOUBLE", "BIGINT", "BIGINT", "BIGINT", "BIGINT", "DOUBLE")
+#: Column names of summed parts.
+SUMS = Parts(*(f"_{name}" for name in Parts._fields))
 
 
 def real(value: float) -> str:
@@ -40,33 +48,44 @@ def real(value: float) -> str:
     return f"{value!r}D"
 
 
-def parts_text(v: str, limit: float = READING_LIMIT) -> Parts:
-    """The parts of a value."""
-    fits = f"abs({v}) < {real(limit)}"
+def parts_text(v: str) -> Parts:
+    """The parts of a value. The remainder of a division by a power of two is exact."""
+
+    def rest(cut: int) -> str:
+        return f"nanvl({v} % {real(2.0**cut)}, 0D)"
+
+    def piece(high: int, low: int) -> str:
+        return f"floor(({rest(high)} - {rest(low)}) * {real(2.0**-low)})"
+
     return Parts(
-        f"if({fits}, floor({v}), 0L)",
-        f"if({fits}, floor(({v} - floor({v})) * 1e6D + 0.5D), 0L)",
-        f"if({fits}, 0D, {v})",
+        f"({v} - {rest(_BITS)})",
+        *(piece(cut, cut - _BITS) for cut in (_BITS, 0, -_BITS, -2 * _BITS)),
+        rest(-3 * _BITS),
     )
 
 
 def total_text(sums: Parts) -> str:
-    """The double closest to the summed parts."""
-    units = (
-        f"CAST({sums.whole} AS DECIMAL(20,0)) * CAST(1000000 AS DECIMAL(7,0))"
-        f" + CAST({sums.micros} AS DECIMAL(20,0))"
-    )
-    return f"(CAST(({units}) * CAST(0.000001 AS DECIMAL(6,6)) AS DOUBLE) + {sums.wide})"
+    """The double closest to the summed parts.
+
+    Carries are moved up first; then whole part and first fraction make one double
+    without rounding (below 2^29), the two lower fractions another.
+    """
+    unit, mask = real(2.0**-_BITS), (1 << _BITS) - 1
+    carry2 = f"({sums.frac2} + shiftright({sums.frac3}, {_BITS}))"
+    carry1 = f"({sums.frac1} + shiftright({carry2}, {_BITS}))"
+    upper = f"({sums.whole} + {carry1} * {unit})"
+    lower = f"((({carry2} & {mask}L) + ({sums.frac3} & {mask}L) * {unit}) * {real(2.0 ** (-2 * _BITS))})"
+    return f"({sums.above} + ({upper} + ({lower} + {sums.below})))"
 
 
-def exact_sum_text(v: str, limit: float = READING_LIMIT) -> str:
-    """Aggregate: the sum of a double column, to a millionth, in any order."""
-    return total_text(Parts(*(f"sum({part})" for part in parts_text(v, limit))))
+def exact_sum_text(v: str) -> str:
+    """Aggregate: the sum of a double column, the same in any order."""
+    return total_text(Parts(*(f"sum({part})" for part in parts_text(v))))
 
 
-def exact_mean_text(v: str, limit: float = READING_LIMIT) -> str:
+def exact_mean_text(v: str) -> str:
     """Aggregate: ``exact_sum`` over the number of values."""
-    return f"({exact_sum_text(v, limit)} / nullif(count({v}), 0))"
+    return f"({exact_sum_text(v)} / nullif(count({v}), 0))"
 
 
 def round_half_up_text(v: str, digits: int | str = 0) -> str:
@@ -81,15 +100,16 @@ def round_half_up_text(v: str, digits: int | str = 0) -> str:
 
 def round_window_text(v: str) -> str:
     """Two decimals the way the window roll-up writes them: add a half, cut off."""
-    return f"if(abs({v}) < 1e13D, CAST({v} * 100D + 0.5D AS BIGINT) / 100D, {v})"
+    scaled = f"({v} * 100D + 0.5D)"
+    return f"(({scaled} - nanvl({scaled} % 1D, 0D)) / 100D)"
 
 
-def exact_sum(value: str, limit: float = READING_LIMIT) -> Column:
-    return F.expr(exact_sum_text(value, limit))
+def exact_sum(value: str) -> Column:
+    return F.expr(exact_sum_text(value))
 
 
-def exact_mean(value: str, limit: float = READING_LIMIT) -> Column:
-    return F.expr(exact_mean_text(value, limit))
+def exact_mean(value: str) -> Column:
+    return F.expr(exact_mean_text(value))
 
 
 def round_half_up(value: str, digits: int = 0) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from hazemill.functions.air import aqi_category_text, aqi_text
 from hazemill.functions.checks import code_text, reason_text, spec_texts
-from hazemill.functions.numeric import Parts, parts_text, round_half_up_text, total_text
+from hazemill.functions.numeric import PART_TYPES, Parts, parts_text, round_half_up_text, total_text
 
 
 def _definitions() -> dict[str, tuple[str, str, str]]:
@@ -25,23 +25,26 @@ def _definitions() -> dict[str, tuple[str, str, str]]:
         ),
         "reason_message": ("c INT", "STRING", reason_text("c")),
         "round_half_up": ("v DOUBLE, d INT", "DOUBLE", round_half_up_text("v", "d")),
-        # Row parts and total of an exact sum: sum_total(sum(part_whole(x)), ...).
-        "part_whole": ("v DOUBLE", "BIGINT", part.whole),
-        "part_micros": ("v DOUBLE", "BIGINT", part.micros),
-        "part_wide": ("v DOUBLE", "DOUBLE", part.wide),
+        # Row parts and total of an exact sum: sum_total(sum(part_above(x)), ...).
+        **{
+            f"part_{name}": ("v DOUBLE", kind, text)
+            for name, kind, text in zip(Parts._fields, PART_TYPES, part)
+        },
         "sum_total": (
-            "whole BIGINT, micros BIGINT, wide DOUBLE",
+            ", ".join(f"{name} {kind}" for name, kind in zip(Parts._fields, PART_TYPES)),
             "DOUBLE",
-            total_text(Parts("whole", "micros", "wide")),
+            total_text(Parts(*Parts._fields)),
         ),
     }
 
 
 def register_sql_functions(spark: SparkSession) -> list[str]:
-    """Create the functions in this session and return their names."""
+    """Create the functions in this session, unless it has them, and return their names."""
     definitions = _definitions()
-    for name, (arguments, kind, body) in definitions.items():
-        spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {kind} RETURN {body}"
-        )
+    if not spark.catalog.functionExists("sum_total"):
+        for name, (arguments, kind, body) in definitions.items():
+            spark.sql(
+                f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments})"
+                f" RETURNS {kind} RETURN {body}"
+            )
     return list(definitions)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazemill import domain
 from hazemill.functions.numeric import (
-    Parts,
+    SUMS,
     exact_mean_text,
     parts_text,
     round_half_up,
@@ -20,7 +20,6 @@ from hazemill.operators.reports import by_parameter
 
 SENSOR = ["location_id", "location", "city", "country", "parameter"]
 SERIES = ["city", "parameter"]
-_SUMS = Parts("_whole", "_micros", "_wide")
 
 
 def latest_per_station(df: DataFrame) -> DataFrame:
@@ -146,7 +145,7 @@ def rolling_as_of(
         df.filter(F.col("window_end").isNotNull())
         .groupBy(*SERIES, "window_end")
         .agg(
-            *(F.expr(f"sum({part})").alias(c) for part, c in zip(parts_text("avg"), _SUMS)),
+            *(F.expr(f"sum({part})").alias(c) for part, c in zip(parts_text("avg"), SUMS)),
             F.count("avg").alias("_means"),
             F.sum("aqi").alias("_index"),
             F.count("aqi").alias("_indexes"),
@@ -168,7 +167,7 @@ def rolling_as_of(
         )
     )
     frame = Window.partitionBy(*SERIES, "_chunk").orderBy("_at").rangeBetween(-length, 0)
-    summed = [*_SUMS, "_means", "_index", "_indexes", "_rows"]
+    summed = [*SUMS, "_means", "_index", "_indexes", "_rows"]
     seen = spread.select(
         *SERIES,
         "window_end",
@@ -180,7 +179,7 @@ def rolling_as_of(
     return seen.select(
         *SERIES,
         "window_end",
-        round_half_up(f"{total_text(_SUMS)} / nullif(_means, 0)", 2).alias("rolling_mean"),
+        round_half_up(f"{total_text(SUMS)} / nullif(_means, 0)", 2).alias("rolling_mean"),
         round_half_up("_index / nullif(_indexes, 0)", 1).alias("rolling_aqi"),
         "peak",
         F.col("_rows").alias("windows"),

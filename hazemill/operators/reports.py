@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hazemill import domain
 from hazemill.functions.numeric import (
-    TOTAL_LIMIT,
+    Parts,
     exact_mean,
     exact_mean_text,
     exact_sum_text,
@@ -55,13 +55,12 @@ def worst_stations_sql(
 ) -> DataFrame:
     """The same ranking in SQL over a registered view, without cleaning the rows first."""
     register_sql_functions(spark)
+    parts = ", ".join(f"sum(part_{name}(avg))" for name in Parts._fields)
     return spark.sql(
-        """
+        f"""
         SELECT location, city, country,
                round_half_up(avg(aqi), 1) AS avg_aqi,
-               round_half_up(
-                   sum_total(sum(part_whole(avg)), sum(part_micros(avg)), sum(part_wide(avg)))
-                   / count(avg), 2) AS avg_pm25,
+               round_half_up(sum_total({parts}) / count(avg), 2) AS avg_pm25,
                max(max) AS peak_pm25,
                count(*) AS windows
         FROM IDENTIFIER(:view)
@@ -82,7 +81,7 @@ def pollutant_summary(df: DataFrame) -> DataFrame:
             round_half_up(exact_mean_text("avg"), 2).alias("mean"),
             F.min("min").alias("min"),
             F.max("max").alias("max"),
-            round_half_up(exact_sum_text("sum", TOTAL_LIMIT), 1).alias("sum"),
+            round_half_up(exact_sum_text("sum"), 1).alias("sum"),
             F.count(F.lit(1)).alias("count"),
         )
         .orderBy("parameter")

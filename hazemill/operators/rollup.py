@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from hazemill import domain
 from hazemill.functions.air import aqi, aqi_category
-from hazemill.functions.numeric import Parts, parts_text, round_window, total_text
+from hazemill.functions.numeric import SUMS, parts_text, round_window, total_text
 from hazemill.schemas import AGGREGATE, METADATA
 
 STATION_PARAMETER = ["location_id", "parameter"]
-_SUMS = Parts("_whole", "_micros", "_wide")
 
 
 def reading_aggregates() -> list[Column]:
@@ -22,7 +21,7 @@ def reading_aggregates() -> list[Column]:
         F.count("value").alias("count"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        *(F.expr(f"sum({part})").alias(name) for part, name in zip(parts_text("value"), _SUMS)),
+        *(F.expr(f"sum({part})").alias(name) for part, name in zip(parts_text("value"), SUMS)),
     ]
 
 
@@ -32,7 +31,7 @@ def finish(groups: DataFrame, window: str = "_window", extra: Sequence[str] = ()
     The index is taken from the unrounded mean; sum and mean are then rounded, minimum
     and maximum are not.
     """
-    total = total_text(_SUMS)
+    total = total_text(SUMS)
     means = groups.withColumns(
         {"_total": F.expr(total), "_mean": F.expr(f"{total} / nullif(count, 0)")}
     ).withColumn("aqi", aqi("parameter", "_mean"))
@@ -71,7 +70,7 @@ def tumbling_aggregate(
         F.sum("count").alias("count"),
         F.min("min").alias("min"),
         F.max("max").alias("max"),
-        *(F.sum(name).alias(name) for name in _SUMS),
+        *(F.sum(name).alias(name) for name in SUMS),
         F.min(F.struct("_since", *METADATA)).alias("_first"),
     )
     return finish(merged, extra=[k for k in keys if k not in AGGREGATE.fieldNames()])

@@ -53,10 +53,11 @@ def category_sql(i: str) -> str:
 
 
 def exact(x: str, over: str = "") -> str:
-    """Order-independent sum: decimal for ordinary values, double for NaN and the like."""
-    fixed = f"sum(case when abs({x}) < 1e15 then try_cast({x} as decimal(24,6)) end) {over}"
-    wide = f"sum(case when not abs({x}) < 1e15 then {x} end) {over}"
-    return f"(coalesce(cast(cast({fixed} as varchar) as double), 0) + coalesce({wide}, 0))"
+    """Order-independent sum: units of 2^-70 as 128-bit integers, double for NaN and the like."""
+    fits = f"isfinite({x}) and abs({x}) < 1e12"
+    fixed = f"sum(case when {fits} then cast({x} * pow(2, 70) as hugeint) end) {over}"
+    wide = f"sum(case when not ({fits}) then {x} end) {over}"
+    return f"(coalesce(cast({fixed} as double) * pow(2, -70), 0) + coalesce({wide}, 0))"
 
 
 def round2(x: str) -> str:

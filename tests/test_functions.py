@@ -183,14 +183,30 @@ def test_rounding(spark):
     assert math.isnan(column_of(spark, [(NAN,)], "v double", fn.round_window("v"))[0])
 
 
-def test_exact_sum_does_not_depend_on_order(spark):
+@pytest.mark.parametrize("low, high", [(0, 3000), (-1e-6, 1e-6), (-5e7, 9e8), (1e6, 4e15)])
+def test_exact_sum_does_not_depend_on_order(spark, low, high):
     rng = random.Random(3)
-    values = [round(rng.uniform(0, 3000), 2) for _ in range(5000)]
-    expected = round(sum(int(round(v * 100)) for v in values) / 100, 2)
+    values = [rng.uniform(low, high) for _ in range(5000)]
+    totals = set()
     for seed in range(3):
         random.Random(seed).shuffle(values)
         df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
-        assert df.agg(fn.exact_sum("v").alias("s")).first()["s"] == expected
+        totals.add(df.agg(fn.exact_sum("v").alias("s")).first()["s"])
+    assert len(totals) == 1
+    assert totals.pop() == pytest.approx(math.fsum(values), rel=3e-16)
+
+
+def test_exact_sum_of_readings_is_the_nearest_double(spark):
+    rng = random.Random(4)
+    for n in (2, 3, 500):
+        values = [round(rng.uniform(0, 3000), 2) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+        assert df.agg(fn.exact_sum("v").alias("s")).first()["s"] == math.fsum(values)
+
+
+def test_large_sums_add_up(spark):
+    df = spark.range(20_000).select(F.lit(9e14).alias("v"))
+    assert df.agg(fn.exact_sum("v").alias("s")).first()["s"] == 1.8e19
 
 
 @pytest.mark.parametrize(
@@ -202,6 +218,11 @@ def test_exact_sum_does_not_depend_on_order(spark):
         ([-1.25, 0.5], -0.75),
         ([1.0, INF], INF),
         ([1e18, 1.0], 1e18),
+        ([12.0000004], 12.0000004),
+        ([1e300, 1.0, -1e300], 1.0),
+        ([1e-300], 1e-300),
+        ([-1.0, 1.0, 1e-30], 1e-30),
+        ([5e-324, -7.5], -7.5),
         ([0.0], 0.0),
     ],
 )
