@@ -18,7 +18,7 @@ from hazemill import functions as fn
 from hazemill import operators as op
 from hazemill import sources, streaming
 from hazemill.plans import sensor_feed as feed
-from hazemill.plans.collect import collect_stream
+from hazemill.plans.collect import collect_rest, collect_stream
 from hazemill.session import shared_dir
 from oracle import MEMBERS, MORE_MEMBERS
 
@@ -90,9 +90,7 @@ def _register_views(spark: SparkSession, sf: str) -> DataFrame:
 
 def _to_messages(spark: SparkSession, sf: str) -> DataFrame:
     messages = sources.to_messages(feed.daily_windows(spark, sf), ordered=True)
-    decoded = sources.from_messages(messages)
-    # The key is the station id of the message it belongs to.
-    return _unzoned(decoded.withColumn("key", F.col("location_id")))
+    return _unzoned(sources.from_messages(messages, keep=["key"]))
 
 
 def _read_aggregate_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,6 +107,9 @@ def _fan_out(spark: SparkSession, sf: str) -> DataFrame:
     collect_stream(
         feed.reading_stream(spark, sf), sinks, f"{folder}/checkpoint", size=feed.DAY, delay="1 hour"
     ).awaitTermination()
+    collect_rest(
+        feed.readings(spark, sf), sources.read_aggregates(spark, f"{folder}/windows"), sinks, size=feed.DAY
+    )
     windows = sources.read_aggregates(spark, f"{folder}/windows")
     messages = spark.read.schema("key string, value string").json(f"{folder}/messages")
     both = windows.withColumn("sink", F.lit("parquet")).unionByName(
@@ -122,16 +123,16 @@ def _enrich(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _with_spec_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Validation against a table of rules, here limits observed in the readings."""
+    """Validation against a table of rules, here limits taken from all usual readings."""
     readings = feed.readings(spark, sf)
     usual = (F.col("parameter") != "xx") & F.col("unit").isin("µg/m³", "mg/m³")
     specs = (
-        readings.filter(usual & ~F.isnan("value") & (F.col("value") <= 250))
+        readings.filter(usual & ~F.isnan("value"))
         .groupBy("parameter")
         .agg(
             F.max("unit").alias("expected_unit"),
             F.lit(0.0).alias("min_value"),
-            F.max("value").alias("max_value"),
+            (2 * fn.exact_mean("value")).alias("max_value"),
         )
     )
     judged = _judged(op.with_spec(readings, specs))
@@ -216,6 +217,14 @@ def _stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     return _unzoned(streaming.run_to_table(spark, stream, "tumbling"))
 
 
+def _stream_and_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """What a stream emitted and what it still owed when it stopped."""
+    stream = streaming.stream_tumbling(_valid_stream(spark, sf), feed.DAY, "1 hour")
+    emitted = streaming.run_to_table(spark, stream, "whole")
+    rest = streaming.missing_windows(op.valid_readings(feed.readings(spark, sf)), emitted, feed.DAY)
+    return streaming.newest_versions(_unzoned(emitted).unionByName(_unzoned(rest.drop("missed"))))
+
+
 def _stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Messages that were all delivered twice."""
     folder = shared_dir(spark, "twice")
@@ -316,6 +325,7 @@ def _sensor_queries() -> dict[str, Query]:
         "sql_functions": _sql_functions,
         # Streams.
         "stream_tumbling": _stream_tumbling,
+        "stream_and_tail": _stream_and_tail,
         "stream_dedup": _stream_dedup,
         "flush_tail": _flush_tail,
         "stream_sliding": _stream_sliding,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,19 +129,17 @@ def summarise_series(df: DataFrame, *keys: Column | str) -> DataFrame:
     )
 
 
-def rolling_as_of(
-    df: DataFrame, span: str | timedelta = domain.ROLLING_SPAN, chunk_spans: int = 8
-) -> DataFrame:
+def rolling_as_of(df: DataFrame, span: str | timedelta = domain.ROLLING_SPAN) -> DataFrame:
     """The rolling figures of a city and pollutant at each of its window ends.
 
     Rows that share city, pollutant and window end see the same figures, so they are
-    added up first (before the shuffle, whatever the size of the group). The series is
-    then cut into chunks of ``chunk_spans`` spans, each of which also receives the last
-    span of the chunk before it: a hot city is spread over many tasks, every row still
-    sees its whole span, and an eighth of the added-up rows is copied.
+    added up first (before the shuffle, whatever the size of the group). Time is then cut
+    into blocks of one span: what an instant sees is the end of the block before its own,
+    from one span ago on, and its own block up to itself. Both are running totals, one
+    backward and one forward, so the work is linear in the instants whatever the span, and
+    the blocks of a hot city are spread over many tasks.
     """
     length = micros(span)
-    chunk = length * chunk_spans
     instants = (
         df.filter(F.col("window_end").isNotNull())
         .groupBy(*SERIES, "window_end")
@@ -153,29 +152,39 @@ def rolling_as_of(
             F.count(F.lit(1)).alias("_rows"),
         )
     )
+    summed = [*SUMS, "_means", "_index", "_indexes", "_rows"]
     at = F.unix_micros(F.col("window_end").cast("timestamp"))
-    own = F.floor(F.col("_at") / F.lit(chunk))
-    carried = F.col("_at") >= (F.col("_own") + 1) * chunk - length
-    spread = (
-        instants.withColumn("_at", at)
-        .withColumn("_own", own)
-        .withColumn(
-            "_chunk",
-            F.explode(
-                F.when(carried, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))
-            ),
-        )
+    # Every instant is there twice: as itself, and one span ago, where it only looks back.
+    ends = F.array(
+        F.struct(at.alias("at"), F.lit(False).alias("looks")),
+        F.struct((at - F.lit(length)).alias("at"), F.lit(True).alias("looks")),
     )
-    frame = Window.partitionBy(*SERIES, "_chunk").orderBy("_at").rangeBetween(-length, 0)
-    summed = [*SUMS, "_means", "_index", "_indexes", "_rows"]
-    seen = spread.select(
+    both = instants.withColumn("_end", F.explode(ends)).select(
         *SERIES,
         "window_end",
-        "_own",
-        "_chunk",
-        *(F.sum(c).over(frame).alias(c) for c in summed),
-        F.max("_peak").over(frame).alias("peak"),
-    ).filter(F.col("_chunk") == F.col("_own"))
+        F.col("_end.at").alias("_at"),
+        F.col("_end.looks").alias("_looks"),
+        F.expr(f"_end.at - pmod(_end.at, {length}L)").alias("_block"),
+        *(F.when(~F.col("_end.looks"), F.col(c)).alias(c) for c in [*summed, "_peak"]),
+    )
+    block = Window.partitionBy(*SERIES, "_block")
+    until_now = (Window.unboundedPreceding, Window.currentRow)
+    forward = block.orderBy("_at").rowsBetween(*until_now)
+    # From the end of the block; an instant that is exactly one span ago is still seen.
+    backward = block.orderBy(F.desc("_at"), "_looks").rowsBetween(*until_now)
+
+    def running(total: Callable[[str], Column], c: str) -> Column:
+        return F.when(F.col("_looks"), total(c).over(backward)).otherwise(total(c).over(forward))
+
+    halves = both.select(
+        *SERIES,
+        "window_end",
+        *(running(F.sum, c).alias(c) for c in summed),
+        running(F.max, "_peak").alias("_peak"),
+    )
+    seen = halves.groupBy(*SERIES, "window_end").agg(
+        *(F.sum(c).alias(c) for c in summed), F.max("_peak").alias("peak")
+    )
     return seen.select(
         *SERIES,
         "window_end",

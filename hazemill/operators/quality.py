@@ -132,15 +132,21 @@ def collector_counters(validated: DataFrame, aggregates: DataFrame) -> DataFrame
     """The collector's counters as rows ``counter, label, total``.
 
     One pass over the readings and one over the aggregates. A reason that never
-    occurred has no row.
+    occurred has no row; ``untimed_total`` has valid readings without a time, which are in
+    no window.
     """
     rows = ["'measurements_total', '', measurements_total"]
     for code, message in domain.REASONS.items():
         if code:
             rows.append(f"'invalid_total', '{message}', invalid_{code}")
+    counts = _code_counts()
+    if "timestamp" in validated.columns:
+        untimed = (F.col("code") == 0) & F.col("timestamp").isNull()
+        counts.append(F.count(F.when(untimed, 1)).alias("untimed"))
+        rows.append("'untimed_total', '', untimed")
     stacked = f"stack({len(rows)}, {', '.join(rows)}) AS (counter, label, total)"
-    seen = validated.agg(*_code_counts()).selectExpr(stacked)
-    seen = seen.filter((F.col("counter") != "invalid_total") | (F.col("total") > 0))
+    seen = validated.agg(*counts).selectExpr(stacked)
+    seen = seen.filter((F.col("counter") == "measurements_total") | (F.col("total") > 0))
     emitted = aggregates.agg(F.count(F.lit(1)).alias("total")).select(
         F.lit("aggregates_total").alias("counter"), F.lit("").alias("label"), "total"
     )

@@ -1,17 +1,18 @@
 """Sources and sinks."""
 
-from hazemill.sources.messages import from_messages, to_messages
+from hazemill.sources.messages import from_messages, rejected_messages, to_messages
 from hazemill.sources.payloads import (
     flatten_latest,
     flatten_locations,
     location_number,
     station_id,
 )
-from hazemill.sources.sinks import KafkaSink, MessageSink, ParquetSink, Sink, fan_out
+from hazemill.sources.sinks import KafkaSink, MessageSink, ParquetSink, Sink, SinkError, fan_out
 from hazemill.sources.tables import (
     read_aggregate_stream,
     read_aggregates,
     read_measurement_stream,
+    read_measurements,
     register_views,
     write_aggregates,
 )
@@ -21,6 +22,7 @@ __all__ = [
     "MessageSink",
     "ParquetSink",
     "Sink",
+    "SinkError",
     "fan_out",
     "flatten_latest",
     "flatten_locations",
@@ -29,7 +31,9 @@ __all__ = [
     "read_aggregate_stream",
     "read_aggregates",
     "read_measurement_stream",
+    "read_measurements",
     "register_views",
+    "rejected_messages",
     "station_id",
     "to_messages",
     "write_aggregates",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazemill.schemas import AGGREGATE
@@ -30,10 +32,22 @@ def to_messages(aggregates: DataFrame, ordered: bool = False) -> DataFrame:
     )
 
 
-def from_messages(messages: DataFrame) -> DataFrame:
-    """Aggregate columns of the messages; text that is not JSON is left out."""
-    decoded = F.from_json(F.col("value").cast("string"), AGGREGATE)
+def _decoded() -> Column:
+    return F.from_json(F.col("value").cast("string"), AGGREGATE)
+
+
+def from_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Aggregate columns of the messages, after the message's own columns in ``keep``.
+
+    What holds no aggregate is left out; ``rejected_messages`` has it.
+    """
     # Expanding an array of one parses each text once; a filter on a plain struct would
     # be pushed below the projection and parse it a second time. A malformed text decodes
     # to a struct of NULLs.
-    return messages.select(F.inline(F.array(decoded))).filter(F.col("parameter").isNotNull())
+    return messages.select(*keep, F.inline(F.array(_decoded()))).filter(F.col("parameter").isNotNull())
+
+
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """The messages that ``from_messages`` leaves out, as they came: no JSON object, or one
+    without a pollutant."""
+    return messages.filter(F.coalesce(_decoded()["parameter"].isNull(), F.lit(True)))

@@ -18,6 +18,13 @@ log = logging.getLogger(__name__)
 _ALL_PARTITIONS = 1_000_000
 
 
+def _folder(aggregates: DataFrame, batch_id: int) -> str:
+    """Where a batch goes: batches of another query (a new checkpoint numbers them from 0
+    again) never share a folder with it."""
+    query = aggregates.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"query_id={query or 'none'}/batch_id={batch_id}"
+
+
 class Sink(Protocol):
     """Receives each batch of aggregates; publishing a batch again replaces it."""
 
@@ -27,7 +34,7 @@ class Sink(Protocol):
 
 
 class ParquetSink:
-    """One folder per batch under ``path``, read back as one table."""
+    """One folder per query and batch under ``path``, read back as one table."""
 
     name = "parquet"
 
@@ -35,11 +42,11 @@ class ParquetSink:
         self.path = path
 
     def publish(self, aggregates: DataFrame, batch_id: int) -> None:
-        write_aggregates(aggregates, f"{self.path}/batch_id={batch_id}")
+        write_aggregates(aggregates, f"{self.path}/{_folder(aggregates, batch_id)}")
 
 
 class MessageSink:
-    """Keyed JSON messages as files, one folder per batch."""
+    """Keyed JSON messages as files, one folder per query and batch."""
 
     name = "messages"
 
@@ -49,13 +56,14 @@ class MessageSink:
 
     def publish(self, aggregates: DataFrame, batch_id: int) -> None:
         messages = to_messages(aggregates, self.ordered)
-        messages.write.mode("overwrite").json(f"{self.path}/batch_id={batch_id}")
+        messages.write.mode("overwrite").json(f"{self.path}/{_folder(aggregates, batch_id)}")
 
 
 class KafkaSink:
     """Keyed JSON messages to a topic; the key decides the topic's partition.
 
-    Needs the Kafka connector on the class path. Delivery is at least once.
+    One task sends all of a station's windows of a batch, in their order. Needs the Kafka
+    connector on the class path. Delivery is at least once.
     """
 
     name = "kafka"
@@ -64,9 +72,15 @@ class KafkaSink:
         self.brokers = brokers
         self.topic = topic
 
+    def messages(self, aggregates: DataFrame) -> DataFrame:
+        by_station = aggregates.repartition("location_id")
+        return to_messages(
+            by_station.sortWithinPartitions("location_id", "window_start", "parameter")
+        )
+
     def publish(self, aggregates: DataFrame, batch_id: int) -> None:
         (
-            to_messages(aggregates)
+            self.messages(aggregates)
             .write.format("kafka")
             .option("kafka.bootstrap.servers", self.brokers)
             .option("topic", self.topic)
@@ -90,19 +104,32 @@ def computed_once(batch: DataFrame) -> Iterator[DataFrame]:
         once.unpersist()
 
 
-def fan_out(sinks: Sequence[Sink]) -> Callable[[DataFrame, int], None]:
+class SinkError(RuntimeError):
+    """Some sinks did not take a batch."""
+
+
+def fan_out(
+    sinks: Sequence[Sink], on_failure: str = "raise"
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that hands each batch to every sink in turn.
 
-    The batch is computed once. A sink that fails is logged and the others still get
-    the batch.
+    The batch is computed once. A sink that fails is logged and the others still get the
+    batch; then the failure is raised, so that the stream stops before the batch counts as
+    done and repeats it when it is started again. ``on_failure="log"`` goes on without.
     """
+    if on_failure not in ("raise", "log"):
+        raise ValueError(f"unknown treatment of failures: {on_failure!r}")
 
     def publish(batch: DataFrame, batch_id: int) -> None:
+        failed: list[str] = []
         with computed_once(batch) as once:
             for sink in sinks:
                 try:
                     sink.publish(once, batch_id)
                 except Exception:
                     log.exception("sink %s failed on batch %d", sink.name, batch_id)
+                    failed.append(sink.name)
+        if failed and on_failure == "raise":
+            raise SinkError(f"batch {batch_id} did not reach {', '.join(failed)}")
 
     return publish

@@ -46,6 +46,11 @@ def write_aggregates(
     writer.parquet(path)
 
 
+def read_measurements(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+    """Readings stored as files in a folder."""
+    return spark.read.schema(MEASUREMENT).format(file_format).load(path)
+
+
 def read_measurement_stream(
     spark: SparkSession, path: str, file_format: str = "parquet", max_files: int | None = None
 ) -> DataFrame:

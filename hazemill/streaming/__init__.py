@@ -1,9 +1,12 @@
 """Structured Streaming operators."""
 
+from hazemill.streaming.counters import StreamCounters
 from hazemill.streaming.run import run_to_table, start
 from hazemill.streaming.windows import (
     closed_before,
     flush_tail,
+    missing_windows,
+    newest_versions,
     stream_chain,
     stream_dedup,
     stream_sliding,
@@ -11,8 +14,11 @@ from hazemill.streaming.windows import (
 )
 
 __all__ = [
+    "StreamCounters",
     "closed_before",
     "flush_tail",
+    "missing_windows",
+    "newest_versions",
     "run_to_table",
     "start",
     "stream_chain",

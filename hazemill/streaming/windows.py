@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hazemill import domain
 from hazemill.functions.times import interval, micros
 from hazemill.operators.current import SERIES, summarise_series
-from hazemill.operators.quality import WINDOW_KEYS
+from hazemill.operators.quality import WINDOW_KEYS, dedup
 from hazemill.operators.rollup import (
     STATION_PARAMETER,
     finish,
@@ -117,8 +117,35 @@ def flush_tail(
 ) -> DataFrame:
     """Roll-up of the windows a stopped stream has not completed.
 
-    Together with what the stream emitted, this is every window of ``readings``.
+    Together with what the stream emitted, this is every window of ``readings``, unless some
+    came after their window was emitted: ``missing_windows`` finds those too.
     """
     watermark = closed_before(readings, delay)
     tail = readings.filter(F.col("timestamp") > watermark - interval(micros(size)))
     return tumbling_aggregate(tail, size).filter(F.col("window_end") > watermark)
+
+
+def missing_windows(
+    readings: DataFrame, emitted: DataFrame, size: str = domain.WINDOW_SIZE
+) -> DataFrame:
+    """What a stopped stream still owes: windows of ``readings`` that ``emitted`` lacks or
+    has with fewer readings, in full, plus ``missed``, the number of those readings.
+
+    These are the windows that were open at the end and those that got readings later than
+    the watermark allows, which the stream drops. Read with ``newest_versions``, what was
+    emitted and this are the roll-up of all ``readings``.
+    """
+    known = emitted.groupBy(*WINDOW_KEYS).agg(F.max("count").alias("_known"))
+    renamed = known.select("_known", *(F.col(k).alias(f"_{k}") for k in WINDOW_KEYS))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in WINDOW_KEYS]
+    whole = tumbling_aggregate(readings, size)
+    met = whole.join(renamed, same, "left").withColumn(
+        "missed", F.col("count") - F.coalesce("_known", F.lit(0))
+    )
+    return met.filter(F.col("missed") > 0).select(*whole.columns, "missed")
+
+
+def newest_versions(aggregates: DataFrame) -> DataFrame:
+    """One row per window: the one with the most readings (a repaired window has more)."""
+    ranked = aggregates.withColumn("_fewer", -F.col("count"))
+    return dedup(ranked, order_by=["_fewer"]).drop("_fewer")

@@ -211,9 +211,8 @@ def oracle_sql() -> dict[str, str]:
     )
     add(
         "fan_out",
-        f"{DAILY}, {WATERMARK}",
-        f"""select s as sink, {agg_columns} from daily, wm, (values ('parquet'), ('messages')) t(s)
-        where window_end <= w""",
+        DAILY,
+        f"select s as sink, {agg_columns} from daily, (values ('parquet'), ('messages')) t(s)",
     )
     add("flatten_locations", STATIONS, "select * from stations")
     add("flatten_latest", f"{READINGS}, {LATEST}", "select * from latest")
@@ -245,8 +244,8 @@ def oracle_sql() -> dict[str, str]:
           case when limits.top is null then 1 when isnan(value) or value < 0 then 2
                when value > limits.top then 3 when unit <> '' and unit <> limits.u then 4
                when not latitude between -90 and 90 then 5 else 0 end as code
-        from readings left join (select parameter, max(unit) as u, max(value) as top from readings
-          where parameter <> 'xx' and unit in ('µg/m³', 'mg/m³') and not isnan(value) and value <= 250
+        from readings left join (select parameter, max(unit) as u, 2 * ({exact('value')} / count(value)) as top from readings
+          where parameter <> 'xx' and unit in ('µg/m³', 'mg/m³') and not isnan(value)
           group by parameter) limits using (parameter)""",
     )
     add(
@@ -448,6 +447,7 @@ def oracle_sql() -> dict[str, str]:
         f"{DAILY}, {WATERMARK}",
         f"select {agg_columns} from daily, wm where window_end > w",
     )
+    add("stream_and_tail", DAILY, f"select {agg_columns} from daily")
     add("stream_dedup", DAILY, f"select {agg_columns} from daily")
     add(
         "stream_sliding",

@@ -204,6 +204,13 @@ def test_exact_sum_of_readings_is_the_nearest_double(spark):
         assert df.agg(fn.exact_sum("v").alias("s")).first()["s"] == math.fsum(values)
 
 
+def test_a_gap_between_bands_is_seen_however_small(measurements):
+    from hazemill.operators import tumbling_aggregate
+
+    rolled = tumbling_aggregate(measurements({"value": 12.0000004}), "10 seconds").first()
+    assert (rolled["aqi"], rolled["avg"]) == (500, 12.0)
+
+
 def test_large_sums_add_up(spark):
     df = spark.range(20_000).select(F.lit(9e14).alias("v"))
     assert df.agg(fn.exact_sum("v").alias("s")).first()["s"] == 1.8e19

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from datetime import timedelta
 
@@ -270,16 +271,16 @@ def test_rolling_as_of_against_a_plain_loop(aggregates):
     df = aggregates(*rows)
     got = {
         (r["city"], r["at"]): (r["rolling_mean"], r["rolling_aqi"], r["peak"], r["windows"])
-        for r in op.rolling_as_of(df, "5 minutes", chunk_spans=2)
+        for r in op.rolling_as_of(df, "5 minutes")
         .withColumn("at", F.unix_seconds("window_end"))
         .collect()
     }
     expected = {}
     for r in rows:
         seen = [s for s in rows if s["city"] == r["city"] and timedelta(0) <= r["window_end"] - s["window_end"] <= timedelta(minutes=5)]
-        cents = sum(round(s["avg"] * 100) for s in seen)
+        total = math.fsum(s["avg"] for s in seen)
         expected[(r["city"], int(r["window_end"].timestamp()))] = (
-            int(cents / 100 / len(seen) * 100 + 0.5) / 100,
+            int(total / len(seen) * 100 + 0.5) / 100,
             int(sum(s["aqi"] for s in seen) / len(seen) * 10 + 0.5) / 10,
             max(s["max"] for s in seen),
             len(seen),

@@ -74,7 +74,7 @@ def test_key_figures_use_hash_tables_on_the_data(spark, files):
 
 def test_ranges_keep_rolling_groups_small(spark, files):
     text = plan(op.rolling_as_of(sources.read_aggregates(spark, files[1])))
-    assert re.search(r"hashpartitioning\(city#\d+, parameter#\d+, _chunk#\d+", text)
+    assert re.search(r"hashpartitioning\(city#\d+, parameter#\d+, _block#\d+", text)
     assert re.findall(r"(HashAggregate|Exchange)", text)[::-1][:2] == ["HashAggregate", "Exchange"]
 
 

@@ -81,6 +81,14 @@ def test_ordered_messages_follow_the_windows(aggregates):
 def test_other_text_is_not_a_message(spark):
     df = spark.createDataFrame([("not json",), ("{}",), (None,)], "value string")
     assert sources.from_messages(df).count() == 0
+    assert sources.rejected_messages(df).count() == 3
+
+
+def test_messages_keep_their_key(aggregates):
+    messages = sources.to_messages(two(aggregates)).withColumn("key", F.concat(F.lit("k-"), "key"))
+    kept = sources.from_messages(messages, keep=["key"])
+    assert sorted(r["key"] for r in kept.collect()) == ["k-st-1", "k-st-2"]
+    assert sources.rejected_messages(messages).isEmpty()
 
 
 def test_locations_payload(spark):
@@ -123,7 +131,7 @@ class Broken:
 def test_fan_out_goes_on_after_a_failure_and_can_repeat(spark, aggregates, tmp_path, caplog):
     parquet = sources.ParquetSink(str(tmp_path / "p"))
     messages = sources.MessageSink(str(tmp_path / "m"))
-    publish = sources.fan_out([Broken(), parquet, messages])
+    publish = sources.fan_out([Broken(), parquet, messages], on_failure="log")
     df = two(aggregates)
     for batch in (0, 1, 1):
         publish(df, batch)
@@ -133,6 +141,27 @@ def test_fan_out_goes_on_after_a_failure_and_can_repeat(spark, aggregates, tmp_p
     assert sources.from_messages(stored).count() == 4
 
 
+def test_fan_out_raises_after_all_sinks_had_the_batch(spark, aggregates, tmp_path):
+    parquet = sources.ParquetSink(str(tmp_path / "p"))
+    with pytest.raises(sources.SinkError, match="broken"):
+        sources.fan_out([Broken(), parquet])(two(aggregates), 0)
+    assert sources.read_aggregates(spark, parquet.path).count() == 2
+    with pytest.raises(ValueError):
+        sources.fan_out([], on_failure="ignore")
+
+
+def test_a_station_is_sent_by_one_task_in_order(aggregates):
+    start = at("2024-01-01T00:00:00")
+    df = aggregates(*({"location_id": f"st-{i % 3}", "window_start": start + timedelta(seconds=(i * 7) % 50)} for i in range(50)))
+    sent = sources.KafkaSink("", "").messages(df.repartition(5)).withColumn("task", F.spark_partition_id())
+    seen = {}
+    for row in sent.collect():
+        seen.setdefault(row["key"], []).append((row["task"], json.loads(row["value"])["window_start"]))
+    for order in seen.values():
+        assert len({task for task, _ in order}) == 1
+        assert order == sorted(order)
+
+
 def test_a_stream_needs_one_source(spark):
     for wrong in ({}, {"path": "x", "brokers": "y"}):
         with pytest.raises(ValueError):

@@ -1,14 +1,17 @@
 from __future__ import annotations
 
 import random
+import time
 from datetime import timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from hazemill import operators as op
 from hazemill import sources, streaming
 from hazemill.plans.board import board_tables, watch
-from hazemill.plans.collect import collect_stream, collect_windows
+from hazemill.plans.collect import collect_rest, collect_stream, collect_windows
 from hazemill.schemas import AGGREGATE
 from hazemill.session import shared_dir
 from tests.conftest import at
@@ -78,6 +81,70 @@ def test_collector_job(spark, measurements, tmp_path):
     assert written and written == rows_of(sources.from_messages(sent))
 
 
+class Flaky:
+    """Refuses its first batch."""
+
+    name = "flaky"
+
+    def __init__(self, sink):
+        self.sink, self.path, self.refused = sink, sink.path, False
+
+    def publish(self, aggregates, batch_id):
+        if not self.refused:
+            self.refused = True
+            raise OSError("not now")
+        self.sink.publish(aggregates, batch_id)
+
+
+def test_late_readings_and_failing_sinks_lose_nothing(spark, measurements, tmp_path):
+    df = feed(measurements)
+    path = str(tmp_path / "in")
+    # One quarter of the readings arrives last, after its windows were emitted: rows count
+    # as late by the watermark of the batch before the last.
+    for part in (0, 2, 3, 1):
+        piece = df.filter(F.floor((F.unix_seconds("timestamp") - int(START.timestamp())) / 75) == part)
+        piece.coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are taken in the order of their times
+    parquet = sources.ParquetSink(str(tmp_path / "windows"))
+    flaky = Flaky(sources.ParquetSink(str(tmp_path / "flaky")))
+    counters = streaming.StreamCounters()
+    spark.streams.addListener(counters)
+
+    def run(checkpoint):
+        stream = sources.read_measurement_stream(spark, path, max_files=1)
+        query = collect_stream(stream, [flaky, parquet], str(tmp_path / checkpoint), delay="30 seconds")
+        query.awaitTermination()
+        return query
+
+    try:
+        with pytest.raises(StreamingQueryException, match="flaky"):
+            run("checkpoint")
+        query = run("checkpoint")
+        for _ in range(100):
+            if counters.totals(query).get("late_rows"):
+                break
+            time.sleep(0.1)
+        assert counters.totals(query)["late_rows"] > 0
+        assert counters.totals(query)["measurements_total"] >= 300
+    finally:
+        spark.streams.removeListener(counters)
+    whole = rows_of(collect_windows(df, "10 seconds"))
+    emitted = sources.read_aggregates(spark, parquet.path)
+    assert rows_of(emitted) == rows_of(sources.read_aggregates(spark, flaky.path))
+    assert emitted.count() < len(whole)
+    rest = collect_rest(df, emitted, [flaky, parquet])
+    assert rest["windows"] and rest["readings"]
+    for sink in (flaky, parquet):
+        both = sources.read_aggregates(spark, sink.path)
+        assert rows_of(streaming.newest_versions(both)) == whole
+    # Nothing is owed twice, and a run from a new checkpoint replaces nothing.
+    emitted = sources.read_aggregates(spark, parquet.path)
+    before = emitted.count()
+    assert collect_rest(df, emitted, [parquet]) == {"windows": 0, "readings": 0}
+    run("other")
+    assert sources.read_aggregates(spark, parquet.path).count() > before
+
+
 def windows(aggregates):
     rng = random.Random(9)
     return aggregates(
