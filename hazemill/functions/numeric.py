@@ -2,7 +2,7 @@
 
 A double sum depends on the order in which partitions arrive, so a mean that lies on
 a rounding tie could change from run to run. ``exact_sum`` cuts each double at fixed
-powers of two, which loses nothing, and adds the pieces: three 64-bit integers hold the
+powers of two, which loses nothing, and adds the pieces: four 64-bit integers hold the
 whole part and the fraction, the few bits above and below them are doubles that are
 multiples of one power of two and so add without rounding too. All buffers have a
 fixed width (a decimal sum costs about twice as much time).
