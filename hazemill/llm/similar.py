@@ -1,0 +1,203 @@
+"""Near copies by the Jaccard similarity of their shingles, from candidates to verified links."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from hazemill.llm.common import connected_components, map_rows, stored
+from hazemill.llm.simhash import ball_links
+
+#: Two texts are near copies from this similarity of their sets of ``WORDS``-word shingles on.
+WORDS, LEAST = 5, 0.8
+#: Bands of least hashes: a pair at similarity s shares one with 1 - (1 - s**ROWS)**BANDS,
+#: which at 0.8 is 0.999993.
+BANDS, ROWS = 30, 5
+#: Hashes that are multiplied at a time, and words that are remembered; both bound memory only.
+BLOCK, KEPT = 512, 500_000
+
+_ODD = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+class Shingler:
+    """Sets of shingles as sorted 64-bit numbers; words as in ``simhash.text_fingerprint``."""
+
+    def __init__(self) -> None:
+        self._words: dict[bytes, int] = {}
+
+    def _number(self, word: bytes) -> int:
+        if len(self._words) >= KEPT:
+            self._words.clear()
+        found = self._words[word] = xxhash.xxh64_intdigest(word, 42)
+        return found
+
+    def shingles(self, text: str | None) -> np.ndarray:
+        """Distinct shingles of the whole text; one of all words, if there are fewer than
+        ``WORDS``; none without words."""
+        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        known, number = self._words.get, self._number
+        at = np.fromiter((known(w) or number(w) for w in words), np.uint64, len(words))
+        width = min(WORDS, len(at))
+        if not width:
+            return at
+        out = np.full(len(at) - width + 1, width, np.uint64)
+        for i in range(width):
+            out = (out * _STEP) + at[i : len(at) - width + 1 + i]
+            out ^= out >> np.uint64(29)
+        out *= _MIX
+        return np.unique(out ^ (out >> np.uint64(32)))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets; 1 for two empty ones."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def _bands(shingles: np.ndarray) -> list[int]:
+    if not len(shingles):
+        return []
+    least = np.min([(shingles[i : i + BLOCK, None] * _ODD).min(axis=0) for i in range(0, len(shingles), BLOCK)], axis=0)
+    rows = least.reshape(BANDS, ROWS)
+    return [xxhash.xxh64_intdigest(row.tobytes(), i) - (1 << 63) for i, row in enumerate(rows)]
+
+
+def _fingerprint(shingles: np.ndarray) -> int:
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(shingles), 1 << 16):
+        part = shingles[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(shingles), bitorder="little").view("<i8")[0])
+
+
+def _marks(docs: DataFrame) -> DataFrame:
+    """``doc_id, hash, node, bits, bands``: a text's own hash, the number of its set of
+    shingles, its SimHash and its bands."""
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        shingler = Shingler()
+        for batch in batches:
+            nodes, bits, bands = [], [], []
+            for text in batch["text"].to_pylist():
+                found = shingler.shingles(text)
+                nodes.append(xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63))
+                bits.append(_fingerprint(found))
+                bands.append(_bands(found))
+            yield {"doc_id": batch["doc_id"], "hash": batch["hash"], "node": nodes, "bits": bits, "bands": bands}
+
+    given = docs.select(*_row()).filter("doc_id is not null")
+    return map_rows(given, run, "doc_id long, hash long, node long, bits long, bands array<long>")
+
+
+def _row() -> list:
+    text = F.col("text").cast("string").alias("text")
+    return [F.col("doc_id").cast("long").alias("doc_id"), text, F.xxhash64("text").alias("hash")]
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (``u, v``) whose texts are similar enough, by their shingles."""
+    pairs = stored(pairs, "similar-pairs")
+    asked = pairs.select(F.col("u").alias("node")).unionAll(pairs.select(F.col("v").alias("node"))).distinct()
+    asked = nodes.join(asked, "node", "left_semi").select("node", "doc_id", "hash")
+    texts = docs.select(*_row()).join(asked.hint("merge"), ["doc_id", "hash"]).select("node", "text")
+    texts = stored(texts.dropDuplicates(["node"]), "similar-texts")
+    left = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
+    right = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    joined = pairs.join(left.hint("merge"), "u").join(right.hint("merge"), "v").select("u", "v", "a", "b")
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        shingler = Shingler()
+        for batch in batches:
+            us, vs, last, found = [], [], None, None
+            for u, v, a, b in zip(*(batch[k].to_pylist() for k in ("u", "v", "a", "b"))):
+                if v != last:
+                    last, found = v, shingler.shingles(b)
+                if similarity(shingler.shingles(a), found) >= LEAST:
+                    us.append(u)
+                    vs.append(v)
+            yield {"u": us, "v": vs}
+
+    return stored(map_rows(joined, run, "u long, v long"), "similar-links")
+
+
+def similar_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id, component_id`` of all rows with a ``doc_id``: two texts are linked if their
+    similarity is ``LEAST`` or more, a group is what links reach, named by its smallest id.
+
+    Texts with one set of shingles are one node. Candidates share a ball of their SimHash or
+    a band. First all nodes of a band meet its smallest one; then only those of a band that
+    are still in different groups meet each other. So a group of near copies costs what its
+    members do, and no pair of candidates is left out that could join two groups. Every
+    link is verified on the whole texts. Rows with one ``doc_id`` are in one group.
+    """
+    marked = stored(_marks(docs), "similar")
+    named = F.min(F.struct("doc_id", "hash")).alias("first")
+    nodes = marked.groupBy("node").agg(named, F.min("bits").alias("bits"), F.count("*").alias("times"))
+    nodes = stored(nodes.select("node", "first.*", "bits", "times"), "similar-nodes")
+    bands = marked.join(
+        nodes.select("node", "doc_id", "hash").hint("merge"), ["node", "doc_id", "hash"], "left_semi"
+    ).dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
+    bands = stored(bands, "similar-bands")
+    firsts = bands.groupBy("band").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1")
+    shared = stored(bands.join(firsts.hint("merge"), "band").select("band", "node", "v"), "similar-shared")
+
+    alike = nodes.groupBy("bits").agg(F.min("node").alias("node"))
+    balls = ball_links(stored(alike, "similar-alike"))
+    twins = nodes.join(alike.withColumnRenamed("node", "v").hint("merge"), "bits").filter("node != v")
+    pairs = shared.filter("node != v").select(F.col("node").alias("u"), "v")
+    pairs = pairs.unionAll(balls.select("u", "v")).unionAll(twins.select(F.col("node").alias("u"), "v"))
+    links = _verified(pairs.distinct(), nodes, docs)
+
+    same_id = marked.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v != w")
+    same_id = marked.join(same_id.hint("merge"), "doc_id").filter("node != v").select(F.col("node").alias("u"), "v")
+    links = stored(links.unionAll(same_id.distinct()), "similar-first")
+    reached = connected_components(links, "similar-reached")
+
+    groups = shared.join(reached.hint("merge"), "node", "left").select(
+        "band", "node", "v", F.coalesce("component", "node").alias("component")
+    )
+    groups = stored(groups, "similar-groups")
+    several = groups.groupBy("band").agg(
+        F.min("component").alias("a"), F.max("component").alias("b")
+    ).filter("a != b").select("band")
+    open_ = groups.join(several.hint("merge"), "band", "left_semi")
+    # What met the smallest node of its band has been compared with it.
+    rest = open_.filter("node != v").select("band", "node", "component")
+    other = rest.select("band", F.col("node").alias("v"), F.col("component").alias("c"))
+    pairs = rest.join(other.hint("merge"), "band").filter("node > v and component != c")
+    more = _verified(pairs.select(F.col("node").alias("u"), "v").distinct(), nodes, docs)
+    if not more.isEmpty():
+        reached = connected_components(links.unionAll(more), "similar-reached")
+
+    of = marked.select("doc_id", "node").join(reached.hint("merge"), "node", "left").select(
+        "doc_id", F.coalesce("component", "node").alias("component")
+    )
+    of = stored(of, "similar-of")
+    least = of.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return of.join(least.hint("merge"), "component").select("doc_id", "component_id")
+
+
+def drop_similar(docs: DataFrame) -> DataFrame:
+    """One document of each group of near copies, with all columns of ``docs``.
+
+    The smallest ``doc_id`` of a group stays; of several rows with that id the one with the
+    smallest text. Rows without ``doc_id`` cannot be told apart and all stay.
+    """
+    kept = similar_groups(docs).groupBy("doc_id").agg(
+        F.count("*").alias("times"), F.max(F.expr("doc_id = component_id")).alias("stays")
+    )
+    kept = stored(kept.filter("stays").drop("stays"), "similar-kept")
+    out = docs.join(kept.filter("times = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
+    repeated = kept.filter("times > 1").select("doc_id")
+    if not repeated.isEmpty():
+        order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
+        several = docs.join(repeated, "doc_id", "left_semi").withColumn("_at", F.row_number().over(order))
+        out = out.unionByName(several.filter("_at = 1").drop("_at"))
+    return out.select(docs.columns).unionByName(docs.filter("doc_id is null"))

@@ -1,0 +1,74 @@
+"""The pipeline's near copies against brute-force Jaccard similarity."""
+
+from __future__ import annotations
+
+import numpy as np
+
+import corpus_pipeline
+from hazemill.llm import similar
+
+DOCS = "doc_id long, text string, bits long"
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_groups(rows):
+    """Smallest id that links reach, of every id."""
+    sets = {i: shingles(t) for i, t in rows}
+    name = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a >= b or name[a] == name[b]:
+                continue
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((name[a], name[b]))
+                name = {i: low if n == high else n for i, n in name.items()}
+    return name
+
+
+def edited(words, rng, times):
+    out = list(words)
+    for at in rng.choice(len(out), times, replace=False):
+        out[at] = f"x{rng.integers(10**6)}"
+    return out
+
+
+def test_groups_are_those_of_brute_force(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(80):
+        base = [f"w{x}" for x in rng.integers(0, 500, 300)]
+        rows.append((10 * i, " ".join(base)))
+        # 1 to 9 edits: similarity from 0.97 down to below 0.75, and chains of them
+        for j in range(1, 5):
+            base = edited(base if i % 2 else rows[10 * i and -j][1].split(), rng, int(rng.integers(1, 10)))
+            rows.append((10 * i + j, "  ".join(base).upper() if j % 2 else "\n".join(base)))
+    rows += [(2000, ""), (2001, None), (2002, "one two"), (2003, "ONE  two"), (2004, "two one")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], DOCS)
+    got = {r.doc_id: r.component_id for r in similar.similar_groups(docs).collect()}
+    want = brute_groups(rows)
+    assert got == want
+    assert 90 < len(set(want.values())) < len(rows) - 90
+    stage = dict(corpus_pipeline.STAGES)["simhash"]
+    kept = stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_documents_of_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = brute_groups([(r.doc_id, r.text) for r in docs.collect()])
+    assert {r.doc_id: r.component_id for r in similar.similar_groups(docs).collect()} == want
+    assert want[177] == 1 and want[145] == 6  # similar at 0.83, 11 and 7 bits apart
+
+
+def test_rows_without_or_with_one_id(spark):
+    rows = [(None, "a b", 1), (5, "a b", 1), (5, "a b", 2), (7, None, 1), (None, "zz", 1), (5, "c d", 3), (9, "c d", 4)]
+    df = spark.createDataFrame(rows, DOCS)
+    assert sorted((r.doc_id or 0, r.text or "") for r in similar.drop_similar(df).collect()) == [
+        (0, "a b"), (0, "zz"), (5, "a b"), (7, "")]
+    assert similar.drop_similar(spark.createDataFrame([], DOCS)).count() == 0
