@@ -28,7 +28,20 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_ACCOUNT = re.compile(r"[\s:=#.]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{1,4}){3,8})(?![A-Za-z0-9])")
+_ACCOUNT = re.compile(r"[\s:=#.]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,31})")
+_WORD = re.compile(r"[A-Za-z0-9]")
+#: Letters and digits of an account number by its country.
+ACCOUNT_LENGTHS = {
+    country: length
+    for length, countries in (
+        (15, "NO"), (16, "BE"), (18, "DK FI FK FO GL NL SD"), (19, "MK SI"), (20, "AT BA EE KZ LT LU MN XK"),
+        (21, "CH HR LI LV"), (22, "BG BH CR DE GB GE IE ME RS VA"), (23, "AE GI IL IQ OM SO TL"),
+        (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"),
+        (27, "BI DJ FR GR IT MC MR SM"), (28, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (29, "BR EG PS QA UA"),
+        (30, "JO KW MU YE"), (31, "MT SC"), (32, "LC"), (33, "RU"),
+    )
+    for country in countries.split()
+}
 _LOGIN = re.compile(r"[^\s/@:]+(?::[^\s/@]*)?@[A-Za-z0-9.-]+")
 
 Span = tuple[str, int, int]
@@ -66,12 +79,28 @@ def _iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def _account_end(run: str, after: str) -> int:
+    """Where the account number at the start of ``run`` (blocks, then ``after``) ends; 0 if
+    there is none. The country's length fixes it; in a country without one, of the ends of
+    blocks from long to short the first that passes the remainder does."""
+    length = ACCOUNT_LENGTHS.get(run[:2])
+    ends, seen = [], 0
+    for i, c in enumerate(run, 1):
+        seen += c != " "
+        if seen > 34:
+            break
+        following = run[i : i + 1] or after
+        if c != " " and seen >= 15 and length in (None, seen) and not _WORD.match(following):
+            ends.append(i)
+    return next((end for end in reversed(ends) if _iban(run[:end])), 0)
+
+
 def find_spans(text: str | None) -> list[Span]:
     """Personal data of a whole text: ``(kind, start, end)`` by kind, then start.
 
     Every kind is matched from left to right without overlaps of its own; a candidate that
     fails its check (parts over 255, Luhn, number of digits, IBAN remainder) is dropped and
-    not tried again from a later start. Kinds may overlap each other.
+    not tried again from a later start; an IBAN's end is looked for among its blocks. Kinds may overlap each other.
     """
     if not text:
         return []
@@ -114,9 +143,10 @@ def find_spans(text: str | None) -> list[Span]:
                     spans[kind].append((kind, at, m.end()))
         elif kind == "iban":
             m = _ACCOUNT.match(text, last + 1) if at >= free else None
-            if m and _iban(m[1]):
-                spans[kind].append((kind, m.start(1), m.end(1)))
-                done[kind] = m.end()
+            end = _account_end(m[1], text[m.end() : m.end() + 1]) if m else 0
+            if end:
+                spans[kind].append((kind, m.start(1), m.start(1) + end))
+                done[kind] = m.start(1) + end
         else:
             m = _LOGIN.match(text, last + 1) if at >= free else None
             if m:

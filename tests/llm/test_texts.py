@@ -124,6 +124,17 @@ def test_pii_accounts_and_logins():
     assert [s for s in spans if s[0] in ("iban", "login")] == [("iban", 6, 33), ("login", 41, 60)]
 
 
+@pytest.mark.parametrize("after", ["", " BIC COBADEFFXXX", " SWIFT", " I paid", " 2024 and", " A 1 B 2 C 3 D 4 E 5 F 6 G", ".", " paid"])
+def test_pii_accounts_end_at_their_length(after):
+    numbers = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947"]
+    for number in [*numbers, "ZZ22 3704 0044 0532 0130 00"]:  # ZZ has no length of its own
+        text = f"é IBAN {number}{after}"
+        assert [s for s in pii.find_spans(text) if s[0] == "iban"] == [("iban", 7, 7 + len(number))], text
+        assert number not in pii.mask(text)
+    assert not [s for s in pii.find_spans(f"IBAN DE89 3704 0044 0532 0130 01{after}") if s[0] == "iban"]
+    assert not [s for s in pii.find_spans("IBAN DE89370400440532013000x") if s[0] == "iban"]
+
+
 def test_pii_rows_and_masks(spark):
     rows = [(1, "é a.b@c.de x", "k"), (1, "é a.b@c.de x", "k"), (None, None, "k"), (3, "", "k"), (4, "clean", "k")]
     got = pii.find_pii(spark.createDataFrame(rows, DOCS)).collect()
