@@ -25,11 +25,12 @@ def pieces(
     """``doc_id, piece, start, length, ids_crc32`` of every document's ids and ``end_id``.
 
     A document of more than ``size`` ids is cut into full pieces; what is left over is its
-    first piece. ``tokenizer`` names a byte-level BPE file of the tokenizers library.
+    first piece. ``tokenizer`` names a byte-level BPE file of the tokenizers library, whose
+    added tokens get their ids where a text holds them.
     """
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        encoder = ByteLevelEncoder(tokenizer)
+        encoder = ByteLevelEncoder(tokenizer, added=True)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
