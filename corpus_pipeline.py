@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences, one operator per stage.
 
 toxicity drops documents that the field rejects, one document of each group of near copies
-(five-word similarity 0.8, candidates by SimHash and least hashes) stays, personal data are
-masked in the text, and what is left is packed.
+(fingerprints of three-word shingles at two bits or fewer) stays, personal data are masked in
+the text, and what is left is packed.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazemill.llm import packing, pii, similar, toxicity
+from hazemill.llm import packing, pii, simhash, toxicity
 from hazemill.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return similar.drop_similar(docs)
+    return simhash.drop_near_copies(docs, words=3, radius=2)
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
