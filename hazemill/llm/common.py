@@ -23,6 +23,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` needs."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
     """``rows`` over the columns of each Arrow batch; it yields dictionaries of lists."""
     arrow: dict[str, pa.DataType] = {}

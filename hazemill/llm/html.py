@@ -22,11 +22,14 @@ BROADCAST_TOKENS = 500_000
 
 # What elements mean.
 _RAW = "script|style|template|textarea|svg|iframe|select|button|audio|video|canvas"
+#: What follows a tag's name. Outside quotes a tag ends before the next one begins, and nothing
+#: is tried twice, so a tag that is never closed costs no more than its own characters.
+_REST = r"(?:\"[^\"]*\"|'[^']*'|[^<>\"']++)*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    rf"|<(?P<raw>{_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
-    r"|<[!?/][^>]*>|(?P<text>[^<]+|<)",
+    rf"|<(?P<raw>{_RAW})\b{_REST}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<attributes>{_REST})>"
+    r"|<[!?/][^<>]*>|(?P<text>[^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
 _NAMED = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
@@ -88,6 +91,7 @@ class Page:
         self.tokens: list[int] = []
         self.texts: list[tuple[int, int, str, bool]] = []
         stack: list[tuple[str, str, bool, bool]] = []  # tag, path, dropped, in the article
+        still_open: Counter[str] = Counter()  # of the tags in the stack
         block, path, dropped, main = 0, "", False, False
         for m in _TOKEN.finditer(html):
             text, tag = m["text"], m["tag"]
@@ -112,21 +116,24 @@ class Page:
             if tag in _VOID:
                 continue
             if m["end"]:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None:
-                    del stack[at:]
+                while still_open[tag]:
+                    closed = stack.pop()[0]
+                    still_open[closed] -= 1
+                    if closed == tag:
+                        break
             else:
                 if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == tag:
-                    stack.pop()  # these end where the next one begins
+                    still_open[stack.pop()[0]] -= 1  # these end where the next one begins
                 names = " ".join(x.strip("\"'") for x in _NAMED.findall(m["attributes"]))
                 opens = tag in _MAIN or bool(names and _MAIN_NAME.search(names))
                 if opens:  # an article in an unclosed menu or notice is none of it
                     while stack and stack[-1][2] and not stack[-1][3] and stack[-1][0] != "aside":
-                        stack.pop()
+                        still_open[stack.pop()[0]] -= 1
                 _, above, drop, inside = stack[-1] if stack else ("", "", False, False)
                 boiler = bool(names) and not opens and tag not in _NEVER and _is_boilerplate(m["attributes"], inside)
                 drop = drop or tag in _DROPPED or boiler or (tag == "header" and not inside)
                 stack.append((tag, f"{above}/{tag}.{names}" if len(above) < 400 else above, drop, inside or opens))
+                still_open[tag] += 1
             path, dropped, main = stack[-1][1:] if stack else ("", False, False)
 
     @staticmethod

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazemill.llm.common import map_rows
+from hazemill.llm.common import map_rows, unused
 
 #: Kinds in the order in which they are listed; the last two are added by the method.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -71,6 +71,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _at_most_255(digits: str) -> bool:
+    short = digits.lstrip("0")
+    return len(short) <= 3 and int(short or "0") <= 255
+
+
 def _iban(text: str) -> bool:
     code = text.replace(" ", "")
     if not 15 <= len(code) <= 34:
@@ -126,7 +131,7 @@ def find_spans(text: str | None) -> list[Span]:
             m = _IP.match(text, start) if at >= free else None
             if m:
                 done[kind] = m.end()
-                if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m.groups()):
+                if all(_at_most_255(x) for x in m.groups()):
                     spans[kind].append((kind, start, m.end()))
         elif kind == "card":
             m = _CARD.match(text, at) if at >= free else None
@@ -164,7 +169,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans``; offsets are code points.
     A null text is an empty one: zero counts, the hash of nothing, no spans. One row per
-    input row, repeated or without ``doc_id``; other columns are not looked at.
+    input row, repeated or without ``doc_id``; an empty table gives no rows; other columns
+    are not looked at.
     """
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -190,33 +196,34 @@ def find_pii(docs: DataFrame) -> DataFrame:
 def mask(text: str | None) -> str | None:
     """The text with personal data replaced by its kind in angle brackets; spans that
     touch the same characters become one, named by the first."""
-    spans = sorted(find_spans(text), key=lambda s: (s[1], -s[2]))
-    if not spans:
-        return text
-    out, at = [], 0
-    last_end = -1
-    for kind, start, end in spans:
-        if start < last_end:  # within or across the span before: one replacement
-            at = last_end = max(last_end, end)
-            continue
-        out += [text[at:start], f"<{kind.upper()}>"]
-        at = last_end = end
-    out.append(text[at:])
-    # What is left between two spans may read as one anew; each round has fewer anchors.
-    return mask("".join(out))
+    while spans := sorted(find_spans(text), key=lambda s: (s[1], -s[2])):
+        out, at = [], 0
+        last_end = -1
+        for kind, start, end in spans:
+            if start < last_end:  # within or across the span before: one replacement
+                at = last_end = max(last_end, end)
+                continue
+            out += [text[at:start], f"<{kind.upper()}>"]
+            at = last_end = end
+        out.append(text[at:])
+        # What is left between two spans may read as one anew; each round has fewer anchors.
+        text = "".join(out)
+    return text
 
 
 def mask_documents(docs: DataFrame) -> DataFrame:
     """All rows and columns of ``docs``, personal data masked in ``text``; ``n_chars`` of
-    changed texts is their new length. Null and clean texts stay as they are."""
+    changed texts is their new length. Null and clean texts stay as they are, repeated rows
+    too; an empty table gives no rows; other columns may have any name."""
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:
         return texts.map(mask, na_action="ignore")
 
-    out = docs.withColumn("_masked", masked(F.col("text").cast("string")))
-    changed = F.col("_masked") != F.col("text")
+    new = unused(docs, "masked")
+    out = docs.withColumn(new, masked(F.col("text").cast("string")))
+    changed = F.col(new) != F.col("text")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        length = F.length("_masked").cast(kind)
+        length = F.length(new).cast(kind)
         out = out.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("_masked")).select(docs.columns)
+    return out.withColumn("text", F.col(new)).select(docs.columns)

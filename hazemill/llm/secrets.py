@@ -29,7 +29,7 @@ CLASSES = {
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
     r"(?i)example|sample|placeholder|abcdefgh|01234567",
-    r"^/?[a-z]+([/_-][a-z]+)+[0-9]{0,4}$",
+    r"^/?[a-z]++(?:[/_-][a-z]++)++[0-9]{0,4}$",  # possessive: no stack frame per segment
 )
 KINDS = (*BASE_KINDS, *CLASSES)
 

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazemill.llm.common import connected_components, map_rows, stored
+from hazemill.llm.common import connected_components, map_rows, stored, unused
 
 BITS = 64
 #: Shingles of one text that are counted at a time; it bounds memory, not what is counted.
@@ -109,9 +109,10 @@ def drop_near_copies(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFr
     """One document of each near-copy group, with all columns of ``docs``.
 
     The smallest ``doc_id`` of a group stays; of several rows with that id the one with the
-    smallest text. Rows without ``doc_id`` cannot be told apart and all stay. Documents meet
-    the ids that stay in a sort-merge join at every size, so that cost grows evenly and a
-    skewed partition can be split.
+    smallest text (a null one first). Rows without ``doc_id`` cannot be told apart and all
+    stay. A null text is an empty one, an empty table gives no rows, other columns may have
+    any name. Documents meet the ids that stay in a sort-merge join at every size, so that
+    cost grows evenly and a skewed partition can be split.
     """
     groups = simhash_groups(docs, words, radius).filter("doc_id is not null")
     kept = groups.groupBy("doc_id").agg(
@@ -122,6 +123,7 @@ def drop_near_copies(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFr
     repeated = kept.filter("times > 1").select("doc_id")
     if not repeated.isEmpty():
         order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-        several = docs.join(repeated, "doc_id", "left_semi").withColumn("_at", F.row_number().over(order))
-        out = out.unionByName(several.filter("_at = 1").drop("_at"))
+        at = unused(docs, "at")
+        several = docs.join(repeated, "doc_id", "left_semi").withColumn(at, F.row_number().over(order))
+        out = out.unionByName(several.filter(F.col(at) == 1).drop(at))
     return out.select(docs.columns).unionByName(docs.filter("doc_id is null"))
