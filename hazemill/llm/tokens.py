@@ -14,7 +14,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 LONG_SPACE = re.compile(r"\s{50000}")
 
 
-def _byte_letters() -> str:
+def byte_letters() -> str:
     """The letter that stands for each byte in a byte-level vocabulary."""
     shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
     other = iter(range(256, 512))
@@ -36,7 +36,7 @@ class ByteLevelEncoder:
         longest = sorted(map(re.escape, self._added), key=len, reverse=True)
         self._cut = re.compile(f"({'|'.join(longest)})") if longest else None
         vocabulary = self._slow.get_vocab(with_added_tokens=False)
-        byte = {ord(letter): b for b, letter in enumerate(_byte_letters())}
+        byte = {ord(letter): b for b, letter in enumerate(byte_letters())}
         # In these files the ids are in the order of the merges, so an id is a rank too.
         ranks = {bytes(byte[ord(x)] for x in token): i for token, i in vocabulary.items() if "<|" not in token}
         self._merge = tiktoken.Encoding("byte-level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})

@@ -193,4 +193,4 @@ def test_twins(spark):
     for name in llm_oracle_sql():
         good, note = compare.compare(spark, con, name, "/root/testdata/sf0.001")
         assert good, (name, note)
-    assert len([n for n in llm_queries() if n.startswith("op")]) == 10
+    assert len([n for n in llm_queries() if n.startswith("op")]) == 13
