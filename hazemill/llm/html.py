@@ -45,13 +45,13 @@ _MAIN = frozenset(("article", "main"))
 _MAIN_NAME = re.compile(r"(?i)\b(article-?body|main-?content|post-?(content|body)|entry-?content|story-?body)\b")
 #: Parts of a class that make it boilerplate, and parts that such a class may have besides.
 _BOILERPLATE = re.compile(
-    r"(?i)ads?|advert\w*|sponsor\w*|banner|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal"
-    r"|sidebar|widget|menu|nav\w*|breadcrumbs?|header|masthead|footer|foot|comments?|disqus|repl(y|ies)"
+    r"(?i)ads?|adsby\w*|advert\w*|sponsor\w*|banner|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal"
+    r"|sidebar|widget|menu|nav\w*|breadcrumbs?|header|masthead|footer|foot|comments?(list)?|disqus|repl(y|ies)"
     r"|social|share|sharing|related|newsletter|subscribe|signup|login|search|pagination|pager|skip|hidden"
 )
 _BESIDES = re.compile(
-    r"(?i)area|bar|block|bottom|box|buttons?|container|desktop|footer|form|global|inner|item|left|links?|list|main"
-    r"|mobile|outer|overlay|page|panel|posts?|primary|right|secondary|section|side|site|top|wrap(per)?|\d*"
+    r"(?i)area|articles|bar|block|body|bottom|box|buttons?|container|desktop|footer|form|global|inner|item|left|links?|list|main"
+    r"|mobile|outer|overlay|page|panel|posts?|primary|right|secondary|section|side|site|slot|thread|top|user|wrap(per)?|\d*"
 )
 _CLASS = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 #: Elements that no class makes boilerplate.

@@ -4,7 +4,7 @@ cheapest ones that make the roles alternate."""
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -274,14 +274,16 @@ def _solve(batches: Iterator[dict]) -> Iterator[dict]:
     stretch, now, opened, several = Stretch(), None, False, False
     columns = ("conv_id", "turn", "role", "text", "copies", "blank", "cut", "first")
 
+    found = _Rows(_SOLVED)
+
     def whole() -> dict:
         cost, audit = search(bytes(stretch.rows))
         made = Repair(audit)
         for role, text, copies in held:
             for _ in range(copies):
                 made.row(role, text)
-        return {**_none(now, part), "whole": [True], **{k: [v] for k, v in stretch.counts().items()},
-                "cost": [cost], "audit": [audit], "repaired_sha256": [made.sha256()]}
+        return {"conv_id": now, "part": part, "whole": True, **stretch.counts(),
+                "cost": cost, "audit": audit, "repaired_sha256": made.sha256()}
 
     def fragment() -> dict:
         rows = bytes(stretch.rows)
@@ -293,30 +295,44 @@ def _solve(batches: Iterator[dict]) -> Iterator[dict]:
                 cost, audit = search(rows, start, end, bounds) or (_FAR, "")
                 costs.append(cost)
                 audits.append(audit)
-        kept = {f"s_{k}": [getattr(stretch, k)] for k in _STRETCH}
-        return {**_none(now, part), **kept, "whole": [False], "costs": [costs], "audits": [audits]}
+        kept = {f"s_{k}": getattr(stretch, k) for k in _STRETCH}
+        return {"conv_id": now, "part": part, **kept, "whole": False, "costs": costs, "audits": audits}
 
     for batch in batches:
         for conv, turn, role, text, copies, blank, cut, first in zip(*(batch[k].to_pylist() for k in columns)):
             if not opened or conv != now:
                 if opened:
-                    yield whole() if several else fragment()
+                    yield from found.add(whole() if several else fragment())
                     several = True
                 held, stretch, now, opened = [], Stretch(), conv, True
             stretch.add(turn, role, copies, blank, cut, first)
             if several and copies:
                 held.append((role, text, copies))
     if opened:
-        yield fragment()
+        yield from found.add(fragment())
+    yield from found.rest()
 
 
 _FRAGMENT = ", ".join(f"s_{k} {'string' if k.endswith('role') else 'long'}" for k in _STRETCH)
 _SOLVED = f"{_RESULT}, whole boolean, part int, {_FRAGMENT}, costs array<long>, audits array<string>"
 
 
-def _none(conv: int | None, part: int) -> dict:
-    names = [f.split()[0] for f in _SOLVED.split(", ")]
-    return {**dict.fromkeys(names, [None]), "conv_id": [conv], "part": [part]}
+class _Rows:
+    """Rows on their way out, a few thousand at a time; what a row lacks is null."""
+
+    def __init__(self, schema: str) -> None:
+        self._names = [f.split()[0] for f in schema.split(", ")]
+        self._rows: list[dict] = []
+
+    def add(self, row: dict) -> Iterator[dict]:
+        self._rows.append(row)
+        if len(self._rows) >= 2_000:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[dict]:
+        rows, self._rows = self._rows, []
+        if rows:
+            yield {name: [row.get(name) for row in rows] for name in self._names}
 
 
 def _compose(stretches: pa.Table) -> pa.Table:
@@ -346,20 +362,21 @@ def _compose(stretches: pa.Table) -> pa.Table:
 
 def _digest(batches: Iterator[dict]) -> Iterator[dict]:
     """Conversations as a stream: a row with the audit, then the rows that it is about."""
-    made, result = None, None
+    made, result, found = None, None, _Rows(_RESULT)
     for batch in batches:
         columns = ("conv_id", "place", "role", "text", "copies", "audit", "cost", *_COUNTS)
         for conv, place, role, text, copies, audit, cost, *counts in zip(*(batch[k].to_pylist() for k in columns)):
             if not place:
                 if made:
-                    yield {**result, "repaired_sha256": [made.sha256()]}
+                    yield from found.add({**result, "repaired_sha256": made.sha256()})
                 made = Repair(audit)
-                result = {"conv_id": [conv], "cost": [cost], "audit": [audit], **{k: [v] for k, v in zip(_COUNTS, counts)}}
+                result = {"conv_id": conv, "cost": cost, "audit": audit, **dict(zip(_COUNTS, counts))}
             else:
                 for _ in range(copies):
                     made.row(role, text)
     if made:
-        yield {**result, "repaired_sha256": [made.sha256()]}
+        yield from found.add({**result, "repaired_sha256": made.sha256()})
+    yield from found.rest()
 
 
 def repair_conversations(rows: DataFrame) -> DataFrame:

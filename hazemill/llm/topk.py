@@ -15,8 +15,10 @@ from hazemill.llm.vectors import one_per_id, usable
 BLOCK = 8_192
 #: Queries that are looked at together.
 AT_ONCE = 64
-#: Segments per level, coarse to fine.
-LEVELS = (1, 4, 16)
+#: Vectors per place looked for that a block computes first, to know what is to be beaten.
+PROMISING = 16
+#: Segments per level, coarse to fine; a segment has two components at least.
+LEVELS = (1, 4, 16, 32)
 
 
 def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
@@ -33,46 +35,59 @@ def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
 
 
 def search_block(
-    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's ``k`` best of a block: ``(row of query, row of vector, score)``.
-
-    Integers in, exact scores out; a query's own id is no candidate; ties go to the
-    smaller id.
+    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int,
+    least: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Each query's ``k`` best of a block: ``(row of query, row of vector, score)``, and how many
+    exact products that took.
+
+    Integers in, exact scores out; a query's own id is no candidate; ties go to the smaller
+    id. ``least`` has a score per query that ``k`` candidates are known to reach; vectors that
+    cannot are left out. Level by level, only pairs that the coarser bound left go on.
     """
     # Ordered by id, so that the first of equal scores is the one that stays.
     order = np.argsort(ids, kind="stable")
     vectors, ids = vectors[order], ids[order]
     x, y = queries.astype(np.float64), vectors.astype(np.float64)
-    levels = [(statistics(x, s), statistics(y, s)) for s in LEVELS]
     # What rounding may take from a bound.
     slack = 1e-9 * (np.abs(x).max(initial=0) + 1) * (np.abs(y).max(initial=0) + 1) * x.shape[1] + 1e-6
+    levels = [(statistics(x, s), statistics(y, s)) for s in LEVELS if s <= max(1, x.shape[1] // 2) or s == 1]
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    products = 0
     for first in range(0, len(queries), AT_ONCE):
         part = slice(first, first + AT_ONCE)
-        own = query_ids[part, None] == ids[None, :]
         bounds = levels[0][0][part] @ levels[0][1].T
-        for qs, vs in levels[1:2]:
-            bounds = np.minimum(bounds, qs[part] @ vs.T)
-        bounds[own] = -np.inf
-        for row in range(bounds.shape[0]):
-            q = first + row
-            bound = bounds[row]
-            some = np.argpartition(-bound, min(k, len(bound)) - 1)[:k]
-            some = some[np.isfinite(bound[some])]
-            if not len(some):
-                continue
-            least = (vectors[some] @ queries[q]).min() if len(some) == k else -np.inf
-            alive = np.flatnonzero(bound >= least - slack)
-            alive = alive[np.isfinite(bound[alive])]
-            for qs, vs in levels[2:]:
-                alive = alive[vs[alive] @ qs[q] >= least - slack]
-            score = vectors[alive] @ queries[q]
+        bounds[query_ids[part, None] == ids[None, :]] = -np.inf
+        known = np.full(len(bounds), -np.inf) if least is None else least[part].astype(np.float64)
+        # Those that the segments' means alone make promising tell what is to be beaten here.
+        if least is None and len(ids) > PROMISING * k:
+            promise = levels[-1][0][part][:, ::2] @ levels[-1][1][:, ::2].T
+            promise[np.isneginf(bounds)] = -np.inf
+            for row in range(len(bounds)):
+                some = np.argpartition(-promise[row], PROMISING * k)[: PROMISING * k]
+                score = (vectors[some] @ queries[first + row])[np.isfinite(promise[row, some])]
+                if len(score) >= k:
+                    known[row] = np.partition(score, len(score) - k)[len(score) - k]
+                products += len(some)
+        beaten = known - slack
+        rows, columns = np.nonzero((bounds >= beaten[:, None]) & np.isfinite(bounds))
+        for of_queries, of_vectors in levels[1:]:
+            if len(rows) * 8 > bounds.size:
+                finer = (of_queries[part] @ of_vectors.T)[rows, columns]
+            else:
+                finer = np.einsum("ij,ij->i", of_queries[first + rows], of_vectors[columns])
+            stay = finer >= beaten[rows]
+            rows, columns = rows[stay], columns[stay]
+        products += len(rows)
+        starts = np.searchsorted(rows, np.arange(len(bounds) + 1))
+        for row in range(len(bounds)):
+            alive = columns[starts[row] : starts[row + 1]]
+            score = vectors[alive] @ queries[first + row]
             best = np.lexsort((alive, -score))[:k]
-            found.append((np.full(len(best), q), order[alive[best]], score[best]))
+            found.append((np.full(len(best), first + row), order[alive[best]], score[best]))
     if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(3))
-    return tuple(np.concatenate(x) for x in zip(*found))
+        return (*(np.zeros(0, np.int64) for _ in range(3)), products)
+    return (*(np.concatenate(x) for x in zip(*found)), products)
 
 
 def top_k(
@@ -84,8 +99,9 @@ def top_k(
     Components become ``floor(scale * x)``; queries are the rows whose id is divisible by
     ``every``, candidates all rows but the query's own. ``query_id, rank, vec_id, score``.
 
-    Both sides are dealt into blocks by a hash of the id. A block of candidates meets each
-    block of queries in one task; the blocks' winners are ranked once more. Null or empty
+    Both sides are dealt into blocks by a hash of the id. Queries first meet one block of
+    candidates; what their ``k`` best of it score is to be beaten when a block of candidates
+    meets each block of queries in one task. The blocks' winners are ranked once more. Null or empty
     vectors and those with null or non-finite components take no part; vectors of another
     length than the query's are no candidates. Rows of one id are one vector (the smallest),
     rows without id are left out, an empty table gives no rows.
@@ -100,9 +116,7 @@ def top_k(
     left = given.withColumn("block", F.pmod(hashed, F.lit(blocks)).cast("int")).withColumn(
         "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     )
-    right = asked.withColumn("group", F.pmod(hashed, F.lit(groups)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
+    dealt = asked.withColumn("group", F.pmod(hashed, F.lit(groups)).cast("int"))
 
     def search(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -110,15 +124,28 @@ def top_k(
             q = queries[queries["size"] == size]
             c = candidates[candidates["size"] == size]
             qid, cid = q["vec_id"].to_numpy(), c["vec_id"].to_numpy()
-            i, j, score = search_block(np.stack(q["e"].to_numpy()), qid, np.stack(c["e"].to_numpy()), cid, k)
+            least = q["least"].to_numpy() if "least" in q.columns else None
+            i, j, score, _ = search_block(np.stack(q["e"].to_numpy()), qid, np.stack(c["e"].to_numpy()), cid, k, least)
             parts.append(pd.DataFrame({"query_id": qid[i], "vec_id": cid[j], "score": score}))
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         return pd.concat(parts) if parts else empty
 
     keys = ["size", "block", "group"]
-    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        search, "query_id long, vec_id long, score long"
-    )
+
+    def met_by(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+        return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
+            search, "query_id long, vec_id long, score long"
+        )
+
+    # A query's first block is that of its group, so that each block is one group's first.
+    once = F.pmod(F.col("group"), F.lit(blocks)).cast("int")
+    first = met_by(dealt.withColumn("block", once), left.filter(F.col("block") == once))
+    reached = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    reached = reached.filter(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "least")
+    reached = stored(reached, "topk-reached")
+    dealt = dealt.join(reached, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(-(1 << 63))))
+    right = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    met = met_by(right, left)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -27,7 +27,8 @@ def test_kinds_of_element_that_stay():
 
 @pytest.mark.parametrize("name", [
     "comments", "cookie-notice", "site-header", "sidebar widget", "post-comments", "social_share", "related-posts", "nav-main", "side-bar",
-    "newsletter-form", "breadcrumbs", "ads", "ad-1",
+    "newsletter-form", "breadcrumbs", "ads", "ad-1", "commentlist", "user-comment", "comment-body", "ad-slot", "adsbygoogle",
+    "related-articles", "comment-thread",
 ])
 def test_whole_classes_drop(name):
     assert html.Page(f"<article><p>in</p><div class='{name}'>junk</div></article>").extract(set()) == "in"
