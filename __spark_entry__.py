@@ -18,7 +18,9 @@ from hazemill import functions as fn
 from hazemill import operators as op
 from hazemill import sources, streaming
 from hazemill.plans import sensor_feed as feed
+from hazemill.plans.board import watch
 from hazemill.plans.collect import collect_rest, collect_stream
+from hazemill.plans.consume import consume
 from hazemill.session import shared_dir
 from oracle import MEMBERS, MORE_MEMBERS
 
@@ -234,6 +236,56 @@ def _stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return _unzoned(streaming.run_to_table(spark, stream, "dedup"))
 
 
+def _repaired_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows published as of half of the readings, then again as of all: the newest versions."""
+    folder, readings = shared_dir(spark, "versions"), op.valid_readings(feed.readings(spark, sf))
+    half = op.tumbling_aggregate(readings.filter("event_id % 2 = 0"), feed.DAY)
+    sink = sources.ParquetSink(folder)
+    for batch, windows in enumerate((half, op.tumbling_aggregate(readings, feed.DAY))):
+        sink.publish(windows, batch)
+    return _unzoned(sources.read_windows(spark, folder))
+
+
+def _consume(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of which those about CO were cut in half: aggregates and rejects by station."""
+    folder = shared_dir(spark, "consume")
+    messages = sources.to_messages(feed.daily_windows(spark, sf))
+    cut = F.expr("substring(value, 1, length(value) DIV 2)")
+    broken = F.col("value").contains('"parameter":"co"')
+    messages.withColumn("value", F.when(broken, cut).otherwise(F.col("value"))).write.json(f"{folder}/in")
+    windows, rejects = sources.ParquetSink(f"{folder}/windows"), sources.RejectSink(f"{folder}/rejects")
+    consume(sources.read_messages(spark, f"{folder}/in"), [windows], rejects, f"{folder}/checkpoint").awaitTermination()
+    taken = sources.read_aggregates(spark, windows.path).select(F.col("location_id").alias("key"))
+    kept = spark.read.schema("key string, value string").parquet(rejects.path).select("key")
+    both = taken.withColumn("outcome", F.lit("aggregate")).unionByName(kept.withColumn("outcome", F.lit("reject")))
+    return both.groupBy("key", "outcome").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def _live_board(name: str) -> Query:
+    """A table of the board after all messages came in, in three batches."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        folder, tables = shared_dir(spark, "board"), {}
+        for i in range(3):
+            part = feed.daily_windows(spark, sf).filter(F.pmod(F.xxhash64("location_id"), F.lit(3)) == i)
+            sources.to_messages(part).coalesce(1).write.mode("append").json(f"{folder}/in")
+        stream = sources.read_aggregate_stream(spark, f"{folder}/in", max_per_trigger=1)
+        watch(stream, f"{folder}/checkpoint", lambda t, _: tables.update(t), span="7 days", every=None).awaitTermination()
+        return _unzoned(tables[name])
+
+    return run
+
+
+def _periodic_emission(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream that emits every second until it has read all there is."""
+    folder = shared_dir(spark, "periodic")
+    windows = streaming.stream_tumbling(_valid_stream(spark, sf), feed.DAY, "1 hour")
+    query = streaming.start(windows, f"{folder}/checkpoint", path=f"{folder}/rows", every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    return _unzoned(spark.read.schema(windows.schema).parquet(f"{folder}/rows"))
+
+
 def _flush_tail(spark: SparkSession, sf: str) -> DataFrame:
     return streaming.flush_tail(op.valid_readings(feed.readings(spark, sf)), feed.DAY, "1 hour")
 
@@ -328,6 +380,11 @@ def _sensor_queries() -> dict[str, Query]:
         "stream_and_tail": _stream_and_tail,
         "stream_dedup": _stream_dedup,
         "flush_tail": _flush_tail,
+        "repaired_windows": _repaired_windows,
+        "consume_messages": _consume,
+        "live_latest_per_station": _live_board("latest_per_station"),
+        "live_rolling_summary": _live_board("rolling_summary"),
+        "periodic_emission": _periodic_emission,
         "stream_sliding": _stream_sliding,
         "stream_chain": _stream_chain,
     }

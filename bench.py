@@ -92,6 +92,24 @@ def main() -> int:
             job()
         taken[name] = round(statistics.median(seconds(job) for _ in range(RUNS)), 4)
 
+    # The same from a tenth of the rows, where the smaller tables are at hand.
+    smaller = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
+    scaling = {}
+    if os.path.isdir(smaller) and os.path.basename(sf_dir.rstrip("/")) != "sf0.01":
+        feed.readings(spark, smaller).repartition(int(cpus)).write.parquet(f"{folder}/fewer")
+        fewer = spark.read.parquet(f"{folder}/fewer")
+        few = {
+            "collect_from_events": lambda: drain(collect_windows(feed.readings(spark, smaller), "1 hour")),
+            "collect_windows_1h": lambda: drain(collect_windows(fewer, "1 hour")),
+            "collect_validate": lambda: drain(op.validate_frame(fewer, value="value")),
+        }
+        ratio = n_readings / fewer.count()
+        for name, job in few.items():
+            job()
+            spent = statistics.median(seconds(job) for _ in range(RUNS))
+            scaling[name] = {"sec_at_sf0.01": round(spent, 4), "rows_ratio": round(ratio, 1),
+                             "sec_ratio": round(taken[name] / spent, 2)}
+
     inputs = {"collect": n_readings, "report": n_clean, "now": n_clean}
     on_raw = {"report_clean": n_raw, "report_worst_stations_sql": n_raw}
     rates = {
@@ -108,6 +126,7 @@ def main() -> int:
                 "sf": os.path.basename(sf_dir.rstrip("/")),
                 "rows": {"readings": n_readings, "raw_aggregates": n_raw, "clean_aggregates": n_clean},
                 "rows_per_sec": rates,
+                "scaling": scaling,
                 "cpus": int(cpus),
             }
         )

@@ -1,4 +1,5 @@
-"""Operators: DataFrame in, DataFrame out, nothing is run."""
+"""Operators: DataFrame in, DataFrame out. Nothing is run, but for a lookup that measures its
+dimension and a matrix that has to find its columns."""
 
 from hazemill.operators.current import (
     aqi_map,

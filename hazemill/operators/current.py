@@ -18,21 +18,19 @@ from hazemill.functions.numeric import (
 )
 from hazemill.functions.times import interval, micros
 from hazemill.operators.reports import by_parameter
+from hazemill.operators.survivors import newest_rank, one_per_key
 
 SENSOR = ["location_id", "location", "city", "country", "parameter"]
 SERIES = ["city", "parameter"]
 
 
 def latest_per_station(df: DataFrame) -> DataFrame:
-    """The newest aggregate of each station and pollutant; ties by the other columns.
+    """The newest aggregate of each station and pollutant; of several with one end a fixed one.
 
-    An aggregation, so each task passes on one row per sensor before the shuffle.
+    An aggregation, so each task passes on one number per sensor before the shuffle; the rows
+    that belong to the winning numbers are met by a broadcast of these.
     """
-    rest = [c for c in df.columns if c not in SENSOR and c != "window_end"]
-    newest = df.groupBy(*SENSOR).agg(F.max(F.struct("window_end", *rest)).alias("_row"))
-    return newest.select(
-        *(F.col(c) if c in SENSOR else F.col(f"_row.{c}").alias(c) for c in df.columns)
-    )
+    return one_per_key(df, SENSOR, newest_rank())
 
 
 def aqi_map(df: DataFrame) -> DataFrame:
@@ -129,6 +127,77 @@ def summarise_series(df: DataFrame, *keys: Column | str) -> DataFrame:
     )
 
 
+def _series_sums() -> list[Column]:
+    """Partial results of the rolling figures, in fixed-width buffers."""
+    return [
+        *(F.expr(f"sum({part})").alias(c) for part, c in zip(parts_text("avg"), SUMS)),
+        F.count("avg").alias("_means"),
+        F.sum("aqi").alias("_index"),
+        F.count("aqi").alias("_indexes"),
+        F.max("max").alias("_peak"),
+        F.count(F.lit(1)).alias("_rows"),
+    ]
+
+
+_SUMMED = [*SUMS, "_means", "_index", "_indexes", "_rows"]
+
+
+def _series_figures() -> list[Column]:
+    return [
+        round_half_up(f"{total_text(SUMS)} / nullif(_means, 0)", 2).alias("rolling_mean"),
+        round_half_up("_index / nullif(_indexes, 0)", 1).alias("rolling_aqi"),
+        F.col("_peak").alias("peak"),
+        F.col("_rows").alias("windows"),
+    ]
+
+
+def sliding_figures(df: DataFrame, span: str | timedelta, slide: str | timedelta) -> DataFrame:
+    """The rolling figures of each city and pollutant as of every ``slide`` at which the
+    ``span`` before it, ends included, has a row.
+
+    Rows are added up per pane of one slide before the shuffle, those at the very end of a
+    pane apart, since one span later they are seen a last time: what is shuffled does not
+    depend on how many slides a span has. As in ``rolling_as_of`` an instant then sees the end
+    of the block of one span before its own, and its own block up to itself; both are
+    running totals.
+    """
+    length, step = micros(span), micros(slide)
+    if length % step:
+        raise ValueError("the span must be a multiple of the slide")
+    at = F.unix_micros(F.col("window_end").cast("timestamp"))
+    pane = at + F.pmod(-at, F.lit(step))
+    panes = df.filter(F.col("window_end").isNotNull()).groupBy(
+        *SERIES, pane.alias("_pane"), (at == pane).alias("_last")
+    ).agg(*_series_sums())
+    ends = panes.groupBy(*SERIES, "_pane").agg(F.max("_last").alias("_last"))
+    after = F.lead("_pane").over(Window.partitionBy(*SERIES).orderBy("_pane"))
+    seen_until = F.col("_pane") + length - F.when(F.col("_last"), 0).otherwise(step)
+    until = F.least(F.coalesce(F.col("_after") - step, seen_until), seen_until)
+    ticks = ends.withColumn("_after", after).select(*SERIES, F.explode(F.sequence("_pane", until, F.lit(step))).alias("_tick"))
+    rows = panes.withColumn("_at", F.when(F.col("_last"), F.col("_pane")).otherwise(F.col("_pane") - 1))
+    both = (
+        rows.select(*SERIES, "_at", *_SUMMED, "_peak")
+        .unionByName(ticks.withColumn("_at", F.col("_tick")).withColumn("_looks", F.lit(False)), True)
+        .unionByName(ticks.withColumn("_at", F.col("_tick") - length).withColumn("_looks", F.lit(True)), True)
+        .withColumn("_block", F.col("_at") - F.pmod("_at", F.lit(length)))
+    )
+    block = Window.partitionBy(*SERIES, "_block")
+    asks = F.col("_tick").isNotNull()
+    until_now = (Window.unboundedPreceding, Window.currentRow)
+    forward = block.orderBy("_at", asks).rowsBetween(*until_now)
+    backward = block.orderBy(F.desc("_at"), asks).rowsBetween(*until_now)
+
+    def running(total: Callable[[str], Column], c: str) -> Column:
+        return F.when(F.col("_looks"), total(c).over(backward)).otherwise(total(c).over(forward))
+
+    halves = both.select(
+        *SERIES, "_tick", *(running(F.sum, c).alias(c) for c in _SUMMED), running(F.max, "_peak").alias("_peak")
+    ).filter(asks)
+    seen = halves.groupBy(*SERIES, "_tick").agg(*(F.sum(c).alias(c) for c in _SUMMED), F.max("_peak").alias("_peak"))
+    as_of = F.timestamp_micros("_tick").cast(df.schema["window_end"].dataType)
+    return seen.select(as_of.alias("as_of"), *SERIES, *_series_figures())
+
+
 def rolling_as_of(df: DataFrame, span: str | timedelta = domain.ROLLING_SPAN) -> DataFrame:
     """The rolling figures of a city and pollutant at each of its window ends.
 
@@ -143,16 +212,9 @@ def rolling_as_of(df: DataFrame, span: str | timedelta = domain.ROLLING_SPAN) ->
     instants = (
         df.filter(F.col("window_end").isNotNull())
         .groupBy(*SERIES, "window_end")
-        .agg(
-            *(F.expr(f"sum({part})").alias(c) for part, c in zip(parts_text("avg"), SUMS)),
-            F.count("avg").alias("_means"),
-            F.sum("aqi").alias("_index"),
-            F.count("aqi").alias("_indexes"),
-            F.max("max").alias("_peak"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
+        .agg(*_series_sums())
     )
-    summed = [*SUMS, "_means", "_index", "_indexes", "_rows"]
+    summed = _SUMMED
     at = F.unix_micros(F.col("window_end").cast("timestamp"))
     # Every instant is there twice: as itself, and one span ago, where it only looks back.
     ends = F.array(
@@ -183,13 +245,6 @@ def rolling_as_of(df: DataFrame, span: str | timedelta = domain.ROLLING_SPAN) ->
         running(F.max, "_peak").alias("_peak"),
     )
     seen = halves.groupBy(*SERIES, "window_end").agg(
-        *(F.sum(c).alias(c) for c in summed), F.max("_peak").alias("peak")
-    )
-    return seen.select(
-        *SERIES,
-        "window_end",
-        round_half_up(f"{total_text(SUMS)} / nullif(_means, 0)", 2).alias("rolling_mean"),
-        round_half_up("_index / nullif(_indexes, 0)", 1).alias("rolling_aqi"),
-        "peak",
-        F.col("_rows").alias("windows"),
+        *(F.sum(c).alias(c) for c in summed), F.max("_peak").alias("_peak")
     )
+    return seen.select(*SERIES, "window_end", *_series_figures())

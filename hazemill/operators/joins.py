@@ -1,11 +1,10 @@
-"""Lookups of a dimension table: broadcast behind a size check, salted beyond it."""
+"""Lookups of a dimension table: broadcast once its size is measured, hot keys salted beyond."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazemill.functions.checks import spec_columns
@@ -13,6 +12,8 @@ from hazemill.operators.quality import dedup
 from hazemill.schemas import MEASUREMENT, STATION
 
 SALTS = 32
+#: A key that this share of the facts has is hot; there are no more such keys than that.
+HOT = 1 / 64
 _DEFAULT_LIMIT = 10 * 1024 * 1024
 
 
@@ -25,16 +26,51 @@ def _broadcast_limit(df: DataFrame) -> int:
     return int(number)
 
 
-def _size_bound(df: DataFrame) -> int | None:
-    """Catalyst's size of a table in bytes, where it is an upper bound.
+#: Sizes found in this process, by plan and size of the files it reads.
+_measured: dict[tuple[int, str], int | None] = {}
 
-    Filters, aggregations and joins are estimated at or above their true size. A
-    generator may emit any number of rows per input row, so behind one there is no bound.
+
+def _row_bytes(df: DataFrame) -> Column:
+    """What a row takes in memory: a word per column, and the contents of the others."""
+    total = F.lit(16 + 8 * len(df.columns)).cast("bigint")
+    for f in df.schema:
+        column = F.col(f"`{f.name}`")
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary", "varchar", "char"):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0)) + 8
+        elif kind in ("array", "map", "struct", "variant"):
+            total = total + 3 * F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 16
+        elif kind == "decimal":
+            total = total + 16
+    return total
+
+
+def measured_size(df: DataFrame, limit: int) -> int | None:
+    """Bytes that the rows of a table take in memory, None if more than ``limit``.
+
+    Counted, not estimated: a compressed file says little of what is in it. Counting stops at
+    the number of rows that would exceed the limit even if they were empty. A table is
+    counted once as long as its plan and its files' size stay the same.
     """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if re.search(r"^\W*Generate ", plan.toString(), re.MULTILINE):
+    if limit < 0 or df.isStreaming:
         return None
-    return int(plan.stats().sizeInBytes())
+    plan = df._jdf.queryExecution().optimizedPlan()
+    known = (df.semanticHash(), f"{plan.stats().sizeInBytes()}/{limit}")
+    if known not in _measured:
+        most = limit // (16 + 8 * max(len(df.columns), 1)) + 1
+        size = df.limit(most).agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0]
+        _measured[known] = size if size <= limit else None
+    return _measured[known]
+
+
+def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT) -> list[int]:
+    """Hashes of the keys that ``share`` of the facts or more have, from a sketch of fixed size
+    over the key columns alone."""
+    most = int(1 / share)
+    sketch = F.expr(f"approx_top_k(_hash, {most}, {64 * most})")
+    found = facts.select(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)), sketch).first()
+    total, items = found[0], found[1] or []
+    return [item["item"] for item in items if item["count"] >= share * total]
 
 
 def join_dimension(
@@ -46,10 +82,12 @@ def join_dimension(
 ) -> DataFrame:
     """Join each fact with its (unique) dimension row.
 
-    A dimension that is known to be within ``spark.sql.autoBroadcastJoinThreshold`` is
-    broadcast. Any other is replicated ``salts`` times and joined on the key and a
-    salt, so that a key holding a third of all facts is spread over ``salts`` tasks
-    (adaptive execution still broadcasts it if it turns out small when measured).
+    A dimension that is measured to be within ``spark.sql.autoBroadcastJoinThreshold`` is
+    broadcast, and no fact moves. With any other one a sketch of the facts' keys finds the hot
+    ones: those rows, and only those, are replicated ``salts`` times and joined on the key and
+    a salt, so that a key holding a third of all facts is spread over ``salts`` tasks. The
+    keys of a stream of facts cannot be looked at beforehand; all of them are salted.
+
     The salt is a hash of the fact's other columns and of its input partition: copies
     of one fact are spread too, and a task that is run again sends every row the same
     way, which a random salt would not.
@@ -57,12 +95,17 @@ def join_dimension(
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported lookup join: {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
-    size = _size_bound(dimension)
-    if size is not None and size <= _broadcast_limit(facts):
+    if measured_size(dimension, _broadcast_limit(facts)) is not None:
         return facts.join(F.broadcast(dimension), keys, how)
+    hot = None if facts.isStreaming else hot_keys(facts, keys)
+    if hot == []:
+        return facts.join(dimension, keys, how)
+    is_hot = F.lit(True) if hot is None else F.xxhash64(*keys).isin(hot)
     spread = F.xxhash64(F.spark_partition_id(), *(c for c in facts.columns if c not in keys))
-    salted = facts.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.when(is_hot, F.pmod(spread, F.lit(salts)).cast("int")).otherwise(0)
+    salted = facts.withColumn("_salt", salt)
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = dimension.withColumn("_salt", F.explode(every))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hazemill import domain
 from hazemill.functions.checks import code_text, reason_message, spec_texts
+from hazemill.operators.survivors import one_per_key, version_rank
 
 WINDOW_KEYS = ["location_id", "parameter", "window_start"]
 
@@ -59,47 +60,32 @@ def valid_readings(readings: DataFrame) -> DataFrame:
     return readings.filter(code == 0)
 
 
-def _survivor(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None) -> Column:
-    rest = [c for c in df.columns if c not in keys]
-    leading = list(order_by or [])
-    ordered = leading + [c for c in rest if c not in leading]
-    return F.min(F.struct(*ordered))
+def dedup(df: DataFrame, keys: Sequence[str] = WINDOW_KEYS) -> DataFrame:
+    """One row per key. Of aggregates it is the newest version (``version_rank``: a window that
+    was published again with late readings has more of them); of other rows, and of equal
+    versions, a fixed one.
 
-
-def dedup(
-    df: DataFrame, keys: Sequence[str] = WINDOW_KEYS, order_by: Sequence[str] | None = None
-) -> DataFrame:
-    """One row per key: the smallest by ``order_by``, then by the other columns.
-
-    An aggregation rather than ``row_number()``: every task first reduces its own
-    copies, so a group that holds a third of all rows is shuffled as one row per task.
+    An aggregation of fixed-width ranks rather than ``row_number()``: every task first reduces
+    its own copies, so a group that holds a third of all rows is shuffled as one rank per task.
     """
-    kept = df.groupBy(*keys).agg(_survivor(df, keys, order_by).alias("_kept"))
-    columns = [F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns]
-    return kept.select(*columns)
+    rank = version_rank(df.columns) if {"count", "avg"} <= set(df.columns) else []
+    return one_per_key(df, keys, rank)
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Aggregates without duplicates and without invalid rows, with the verdict columns."""
+    """Newest versions of aggregates without invalid rows, with the verdict columns."""
     return only_valid(validate_frame(dedup(df)))
 
 
 def clean_report(df: DataFrame, cleaned: DataFrame | None = None) -> DataFrame:
     """How many rows ``clean`` drops and why.
 
-    Given the already ``cleaned`` (stored) rows, only the keys of ``df`` are read and
-    grouped; without them the survivors are found again, in the same single pass.
+    Only the keys of ``df`` are read and grouped; the survivors are counted in the already
+    ``cleaned`` (stored) rows, or found again without them.
     """
-    copies = F.count(F.lit(1)).alias("_copies")
-    if cleaned is None:
-        kept = df.groupBy(*WINDOW_KEYS).agg(copies, _survivor(df, WINDOW_KEYS, None).alias("_kept"))
-        fields = [c for c in df.columns if c not in WINDOW_KEYS]
-        rows = kept.select("_copies", *WINDOW_KEYS, *(F.col(f"_kept.{c}").alias(c) for c in fields))
-        code = _code(rows, "parameter", "avg", "unit", "latitude", "longitude")
-        valid = F.count(F.when(code == 0, 1))
-    else:
-        rows = df.groupBy(*WINDOW_KEYS).agg(copies)
-        valid = F.any_value(cleaned.agg(F.count(F.lit(1))).scalar())
+    rows = df.groupBy(*WINDOW_KEYS).agg(F.count(F.lit(1)).alias("_copies"))
+    kept = clean(df) if cleaned is None else cleaned
+    valid = F.any_value(kept.agg(F.count(F.lit(1))).scalar())
     counts = rows.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("raw_rows"),
         F.count(F.lit(1)).alias("_unique"),

@@ -20,8 +20,11 @@ from hazemill.functions.numeric import (
     round_half_up,
 )
 from hazemill.functions.sql import register_sql_functions
+from hazemill.session import shared_dir
 
 STATION = ["location", "city", "country"]
+#: Columns that a matrix may have.
+MATRIX_COLUMNS = 500
 
 
 def by_parameter(df: DataFrame, parameter: str = "pm25") -> DataFrame:
@@ -103,14 +106,26 @@ def aqi_category_share(df: DataFrame) -> DataFrame:
 
 
 def city_pollutant_matrix(
-    df: DataFrame, parameters: Sequence[str] = domain.PARAMETERS
+    df: DataFrame, parameters: Sequence[str] | None = None, most: int = MATRIX_COLUMNS
 ) -> DataFrame:
     """Mean concentration per city, one column per pollutant, 0 where there is none.
 
-    The pollutants are named up front, so no extra job looks for them.
+    Without ``parameters`` there is a column for each of the usual pollutants and, after them,
+    for every other one that the rows hold, by name. The rows are aggregated once, to one row
+    per city and pollutant in the shared folder; the columns are found there. More than
+    ``most`` pollutants are refused, not left out.
     """
-    wide = df.groupBy("city").pivot("parameter", list(parameters)).agg(exact_mean("avg"))
-    return wide.fillna(0.0, subset=list(parameters)).orderBy("city")
+    means = df.groupBy("city", "parameter").agg(exact_mean("avg").alias("mean"))
+    if parameters is None:
+        folder = shared_dir(df.sparkSession, "matrix")
+        means.write.parquet(folder)
+        means = df.sparkSession.read.schema(means.schema).parquet(folder)
+        found = means.select("parameter").distinct().filter("parameter IS NOT NULL").limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"more than {most} pollutants; name those that get a column")
+        parameters = [*domain.PARAMETERS, *sorted({r[0] for r in found} - set(domain.PARAMETERS))]
+    wide = means.groupBy("city").pivot("parameter", list(parameters)).agg(F.max("mean"))
+    return wide.fillna(0.0, subset=[f"`{p}`" if "." in p else p for p in parameters]).orderBy("city")
 
 
 def aqi_timeseries(df: DataFrame) -> DataFrame:

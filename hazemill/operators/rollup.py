@@ -76,8 +76,9 @@ def tumbling_aggregate(
     return finish(merged, extra=[k for k in keys if k not in AGGREGATE.fieldNames()])
 
 
-def with_aqi(aggregates: DataFrame) -> DataFrame:
-    """Complete aggregates written without index and category from their stored mean."""
+def with_aqi(aggregates: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Complete aggregates written without index and category from their stored mean; other
+    columns stay if they are named in ``extra``."""
     known = set(aggregates.columns)
     index = aqi("parameter", "avg")
     if "aqi" in known:
@@ -86,4 +87,4 @@ def with_aqi(aggregates: DataFrame) -> DataFrame:
     category = aqi_category("aqi")
     if "aqi_category" in known:
         category = F.coalesce("aqi_category", category)
-    return out.withColumn("aqi_category", category).select(*AGGREGATE.fieldNames())
+    return out.withColumn("aqi_category", category).select(*AGGREGATE.fieldNames(), *extra)

@@ -39,13 +39,15 @@ def report_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
 
 
 def analyze(spark: SparkSession, source: str, target: str) -> dict[str, str]:
-    """Clean ``source`` once, write it and every report under ``target``.
+    """Clean ``source`` once, write it and every report under ``target``. Of a window that was
+    published again only the newest version counts.
 
     The reports read the written table, each only its own columns, instead of
     repeating the deduplication.
     """
-    raw = register_views(spark, source)
-    write_aggregates(clean(raw), f"{target}/clean")
+    raw = read_aggregates(spark, source, versions=True)
+    register_views(spark, source, newest=True)
+    write_aggregates(clean(raw).drop("published"), f"{target}/clean")
     cleaned = read_aggregates(spark, f"{target}/clean")
     tables = report_tables(cleaned)
     tables["clean_report"] = clean_report(raw, cleaned)

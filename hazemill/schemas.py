@@ -53,6 +53,10 @@ AGGREGATE = _struct(
     ("aqi_category", _TEXT),
 )
 
+# When a sink published a window; of versions with equally many readings the last one counts.
+PUBLISHED = T.StructField("published", _TIME)
+VERSIONED = T.StructType([*AGGREGATE.fields, PUBLISHED])
+
 # What describes a station or a sensor rather than being measured.
 METADATA = ["location", "city", "country", "unit", "latitude", "longitude"]
 

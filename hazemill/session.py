@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A side whose partitions all turn out small is hashed, not sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.parquet.compression.codec": "snappy",
     # Open windows of many stations live outside the JVM heap; a checkpoint holds changes.
     "spark.sql.streaming.stateStore.providerClass": (

@@ -7,12 +7,22 @@ from hazemill.sources.payloads import (
     location_number,
     station_id,
 )
-from hazemill.sources.sinks import KafkaSink, MessageSink, ParquetSink, Sink, SinkError, fan_out
+from hazemill.sources.sinks import (
+    KafkaSink,
+    MessageSink,
+    ParquetSink,
+    RejectSink,
+    Sink,
+    SinkError,
+    fan_out,
+)
 from hazemill.sources.tables import (
     read_aggregate_stream,
     read_aggregates,
     read_measurement_stream,
     read_measurements,
+    read_messages,
+    read_windows,
     register_views,
     write_aggregates,
 )
@@ -21,6 +31,7 @@ __all__ = [
     "KafkaSink",
     "MessageSink",
     "ParquetSink",
+    "RejectSink",
     "Sink",
     "SinkError",
     "fan_out",
@@ -32,6 +43,8 @@ __all__ = [
     "read_aggregates",
     "read_measurement_stream",
     "read_measurements",
+    "read_messages",
+    "read_windows",
     "register_views",
     "rejected_messages",
     "station_id",

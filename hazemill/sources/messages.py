@@ -13,8 +13,9 @@ from hazemill.schemas import AGGREGATE
 _TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def to_messages(aggregates: DataFrame, ordered: bool = False) -> DataFrame:
-    """``key`` (station id) and ``value`` (one JSON object) per aggregate.
+def to_messages(aggregates: DataFrame, ordered: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """``key`` (station id) and ``value`` (one JSON object) per aggregate, then the columns in
+    ``keep``.
 
     ``ordered=True`` sorts the messages by station and window for a sink that keeps
     the order of its input. The sort is by range, so a station with many windows is
@@ -28,7 +29,7 @@ def to_messages(aggregates: DataFrame, ordered: bool = False) -> DataFrame:
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in AGGREGATE]
     options = {"timestampFormat": _TIME_FORMAT, "ignoreNullFields": "false"}
     return rows.select(
-        F.col("location_id").alias("key"), F.to_json(F.struct(*fields), options).alias("value")
+        F.col("location_id").alias("key"), F.to_json(F.struct(*fields), options).alias("value"), *keep
     )
 
 
@@ -47,7 +48,11 @@ def from_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return messages.select(*keep, F.inline(F.array(_decoded()))).filter(F.col("parameter").isNotNull())
 
 
+def is_rejected() -> Column:
+    """Whether a message holds no aggregate: no JSON object, or one without a pollutant."""
+    return F.coalesce(_decoded()["parameter"].isNull(), F.lit(True))
+
+
 def rejected_messages(messages: DataFrame) -> DataFrame:
-    """The messages that ``from_messages`` leaves out, as they came: no JSON object, or one
-    without a pollutant."""
-    return messages.filter(F.coalesce(_decoded()["parameter"].isNull(), F.lit(True)))
+    """The messages that ``from_messages`` leaves out, as they came."""
+    return messages.filter(is_rejected())

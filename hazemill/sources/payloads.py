@@ -18,7 +18,7 @@ def station_id(number: Column) -> Column:
 
 def location_number(location_id: Column) -> Column:
     """API location number of a station id; NULL for an id without the prefix."""
-    digits = F.substring(location_id, len(ID_PREFIX) + 1, 20)
+    digits = F.substr(location_id, F.lit(len(ID_PREFIX) + 1))
     return F.when(location_id.startswith(ID_PREFIX), digits.try_cast("bigint"))
 
 

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from typing import Protocol
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hazemill.sources.messages import to_messages
 from hazemill.sources.tables import write_aggregates
@@ -34,7 +35,8 @@ class Sink(Protocol):
 
 
 class ParquetSink:
-    """One folder per query and batch under ``path``, read back as one table."""
+    """One folder per query and batch under ``path``, read back as one table. Rows carry the
+    time of their publication, by which ``read_windows`` tells versions of a window apart."""
 
     name = "parquet"
 
@@ -42,7 +44,8 @@ class ParquetSink:
         self.path = path
 
     def publish(self, aggregates: DataFrame, batch_id: int) -> None:
-        write_aggregates(aggregates, f"{self.path}/{_folder(aggregates, batch_id)}")
+        versioned = aggregates.withColumn("published", F.current_timestamp())
+        write_aggregates(versioned, f"{self.path}/{_folder(aggregates, batch_id)}")
 
 
 class MessageSink:
@@ -59,11 +62,29 @@ class MessageSink:
         messages.write.mode("overwrite").json(f"{self.path}/{_folder(aggregates, batch_id)}")
 
 
+class RejectSink:
+    """Messages that hold no aggregate, as they came, one folder per query and batch."""
+
+    name = "rejects"
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def publish(self, messages: DataFrame, batch_id: int) -> None:
+        rows = messages.select(
+            *(F.col(c).cast("string").alias(c) for c in ("key", "value")), F.current_timestamp().alias("rejected")
+        )
+        rows.write.mode("overwrite").parquet(f"{self.path}/{_folder(messages, batch_id)}")
+
+
 class KafkaSink:
     """Keyed JSON messages to a topic; the key decides the topic's partition.
 
-    One task sends all of a station's windows of a batch, in their order. Needs the Kafka
-    connector on the class path. Delivery is at least once.
+    A batch is sent in the order of station, window and pollutant, cut into ranges of rows, so
+    that a station with a third of all windows is several tasks' work. Tasks run at the same
+    time; the header ``order`` (microseconds of the window's start as decimal text of fixed
+    width) lets a reader put a station's messages back in order, also repeated ones. Needs
+    the Kafka connector on the class path. Delivery is at least once.
     """
 
     name = "kafka"
@@ -73,10 +94,12 @@ class KafkaSink:
         self.topic = topic
 
     def messages(self, aggregates: DataFrame) -> DataFrame:
-        by_station = aggregates.repartition("location_id")
-        return to_messages(
-            by_station.sortWithinPartitions("location_id", "window_start", "parameter")
-        )
+        order = ["location_id", "window_start", "parameter"]
+        ranged = aggregates.repartitionByRange(*order).sortWithinPartitions(*order)
+        start = F.unix_micros(F.col("window_start").cast("timestamp"))
+        token = F.lpad(F.coalesce(start, F.lit(0)).cast("string"), 20, "0").cast("binary")
+        header = F.struct(F.lit("order").alias("key"), token.alias("value"))
+        return to_messages(ranged.withColumn("headers", F.array(header)), keep=["headers"])
 
     def publish(self, aggregates: DataFrame, batch_id: int) -> None:
         (
@@ -84,6 +107,7 @@ class KafkaSink:
             .write.format("kafka")
             .option("kafka.bootstrap.servers", self.brokers)
             .option("topic", self.topic)
+            .option("includeHeaders", "true")
             .save()
         )
 

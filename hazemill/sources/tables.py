@@ -4,26 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from hazemill.operators.quality import dedup
 from hazemill.operators.rollup import with_aqi
-from hazemill.schemas import AGGREGATE, MEASUREMENT
+from hazemill.schemas import AGGREGATE, MEASUREMENT, PUBLISHED, VERSIONED
 from hazemill.sources.messages import from_messages
 
 
-def read_aggregates(spark: SparkSession, path: str, complete: bool = False) -> DataFrame:
+def read_aggregates(
+    spark: SparkSession, path: str, complete: bool = False, versions: bool = False, missing_ok: bool = False
+) -> DataFrame:
     """The 17 aggregate columns from Parquet, with a declared schema.
 
     Files of a collector that writes neither index nor category read as NULL there;
-    ``complete=True`` fills both from the stored mean.
+    ``complete=True`` fills both from the stored mean. ``versions=True`` adds ``published``,
+    which ranks versions of a window (NULL where a writer gave none). With ``missing_ok`` a
+    folder that nothing was written to is an empty table.
     """
-    stored = spark.read.schema(AGGREGATE).parquet(path).select(*AGGREGATE.fieldNames())
-    return with_aqi(stored) if complete else stored
-
-
-def register_views(spark: SparkSession, path: str, view: str = "aggregates") -> DataFrame:
-    """Make a Parquet path available to SQL under a name."""
-    df = read_aggregates(spark, path)
+    schema = VERSIONED if versions else AGGREGATE
+    try:
+        stored = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = spark.createDataFrame([], schema)
+    stored = stored.select(*schema.fieldNames())
+    if not complete:
+        return stored
+    return with_aqi(stored, [PUBLISHED.name] if versions else [])
+
+
+def read_windows(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
+    """The newest version of every window that a sink's folder holds, as aggregates."""
+    return dedup(read_aggregates(spark, path, versions=True, missing_ok=missing_ok)).drop(PUBLISHED.name)
+
+
+def register_views(
+    spark: SparkSession, path: str, view: str = "aggregates", newest: bool = False
+) -> DataFrame:
+    """Make a Parquet path available to SQL under a name; ``newest`` leaves out versions of a
+    window that have been replaced."""
+    df = read_windows(spark, path) if newest else read_aggregates(spark, path)
     df.createOrReplaceTempView(view)
     return df
 
@@ -34,13 +57,14 @@ def write_aggregates(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Snappy Parquet with the 17 aggregate columns.
+    """Snappy Parquet with the 17 aggregate columns, and ``published`` if the rows have it.
 
     The first write replaces what is there, ``mode="append"`` adds a window. Large
     tables can be laid out by ``partition_by=["parameter"]``, so that a query of one
     pollutant opens only its files.
     """
-    writer = df.select(*AGGREGATE.fieldNames()).write.mode(mode).option("compression", "snappy")
+    fields = [f for f in VERSIONED.fieldNames() if f in AGGREGATE.fieldNames() or f in df.columns]
+    writer = df.select(*fields).write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -61,7 +85,13 @@ def read_measurement_stream(
     return reader.load(path)
 
 
-def read_aggregate_stream(
+def read_aggregate_stream(spark: SparkSession, path: str | None = None, **options) -> DataFrame:
+    """Aggregates decoded from the stream of ``read_messages``; what holds no aggregate is
+    left out (``consume`` keeps it)."""
+    return from_messages(read_messages(spark, path, **options))
+
+
+def read_messages(
     spark: SparkSession,
     path: str | None = None,
     *,
@@ -71,7 +101,7 @@ def read_aggregate_stream(
     starting: str = "earliest",
     max_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Aggregates decoded from keyed JSON messages, from Kafka or a folder of files.
+    """A stream of keyed messages, from Kafka or a folder of files.
 
     ``starting`` is the Kafka start position (``earliest`` or ``latest``); later starts
     of the same query go on from its checkpoint.
@@ -82,7 +112,7 @@ def read_aggregate_stream(
         reader = spark.readStream.schema("key string, value string").format("json")
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-        return from_messages(reader.load(path))
+        return reader.load(path)
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
@@ -93,4 +123,4 @@ def read_aggregate_stream(
         reader = reader.option("kafka.group.id", group)
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
-    return from_messages(reader.load())
+    return reader.load()

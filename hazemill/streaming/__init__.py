@@ -7,6 +7,7 @@ from hazemill.streaming.windows import (
     flush_tail,
     missing_windows,
     newest_versions,
+    owed_days,
     stream_chain,
     stream_dedup,
     stream_sliding,
@@ -19,6 +20,7 @@ __all__ = [
     "flush_tail",
     "missing_windows",
     "newest_versions",
+    "owed_days",
     "run_to_table",
     "start",
     "stream_chain",

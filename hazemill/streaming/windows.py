@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazemill import domain
 from hazemill.functions.times import interval, micros
-from hazemill.operators.current import SERIES, summarise_series
+from hazemill.operators.current import SERIES, sliding_figures, summarise_series
 from hazemill.operators.quality import WINDOW_KEYS, dedup
 from hazemill.operators.rollup import (
     STATION_PARAMETER,
@@ -48,13 +49,15 @@ def stream_tumbling(
 def stream_dedup(
     aggregates: DataFrame, keys: Sequence[str] = WINDOW_KEYS, delay: str = DELAY
 ) -> DataFrame:
-    """The first row of each key to arrive, for sources that deliver again.
+    """Each version of a key once, for sources that deliver again.
 
-    Keys are remembered until the watermark is ``delay`` past them, so the state does
-    not grow with the stream.
+    A window that is published again with late readings has more of them and passes as a
+    version of its own, whichever came first; ``newest_versions`` reads the last one. Keys are
+    remembered until the watermark is ``delay`` past them, so the state does not grow with
+    the stream.
     """
     marked = aggregates.withWatermark("window_end", delay)
-    return marked.dropDuplicatesWithinWatermark(list(keys))
+    return marked.dropDuplicatesWithinWatermark([*keys, "count"])
 
 
 def _sliding(df: DataFrame, time: str, span: str, slide: str, shift: int) -> DataFrame:
@@ -84,11 +87,11 @@ def stream_sliding(
     """Rolling figures per city and pollutant, as of every ``slide``.
 
     Works on a stream of aggregates (update mode shows open windows, append mode only
-    complete ones) and on a table.
+    complete ones) and on a table, whose rows are added up per slide first.
     """
-    if aggregates.isStreaming:
-        aggregates = aggregates.withWatermark("window_end", delay)
-    return _sliding(aggregates, "window_end", span, slide, 0)
+    if not aggregates.isStreaming:
+        return sliding_figures(aggregates, span, slide)
+    return _sliding(aggregates.withWatermark("window_end", delay), "window_end", span, slide, 0)
 
 
 def stream_chain(
@@ -125,6 +128,44 @@ def flush_tail(
     return tumbling_aggregate(tail, size).filter(F.col("window_end") > watermark)
 
 
+def owed_days(readings: DataFrame, emitted: DataFrame, size: str = domain.WINDOW_SIZE) -> list[date]:
+    """Days of window starts on which ``readings`` has more readings than ``emitted`` counts.
+
+    A stream counts no reading that there is not, so equal numbers of a day mean that all of
+    its windows are whole. The answer is as long as the history has days.
+    """
+    here = readings.select("value", F.window("timestamp", size).alias("_window"))
+    here = here.groupBy(F.to_date("_window.start").alias("day")).agg(F.count("value").alias("n"))
+    known = emitted.groupBy(*WINDOW_KEYS).agg(F.max("count").alias("_known"))
+    known = known.groupBy(F.to_date("window_start").alias("day")).agg(F.sum("_known").alias("known"))
+    differing = here.join(known, "day", "left").filter(F.col("n") > F.coalesce("known", F.lit(0)))
+    return sorted(row["day"] for row in differing.select("day").collect())
+
+
+def _of_days(readings: DataFrame, days: list[date], size: str) -> DataFrame:
+    """Readings of windows that start on the days. Runs of days are plain bounds of time,
+    which reach the scan; a column ``day`` that the readings are stored by does so too."""
+    runs: list[list[date]] = []
+    for day in days:
+        if runs and (day - runs[-1][1]).days == 1:
+            runs[-1][1] = day
+        else:
+            runs.append([day, day])
+    at, length = F.col("timestamp"), interval(micros(size))
+    kind = readings.schema["timestamp"].dataType
+    within = F.lit(False)
+    for first, last in runs:
+        start, end = (F.lit(d.isoformat()).cast(kind) for d in (first, last + timedelta(days=1)))
+        within = within | ((at >= start) & (at < end + length))
+    kept = readings.filter(within)
+    if "day" in readings.columns:
+        more = -(-micros(size) // micros("1 day"))
+        stored = sorted({d + timedelta(days=i) for d in days for i in range(more + 1)})
+        kept = kept.filter(F.to_date("day").isin(stored))
+    started = kept.select("*", F.window("timestamp", size).alias("_window"))
+    return started.filter(F.to_date("_window.start").isin(days)).drop("_window")
+
+
 def missing_windows(
     readings: DataFrame, emitted: DataFrame, size: str = domain.WINDOW_SIZE
 ) -> DataFrame:
@@ -134,7 +175,12 @@ def missing_windows(
     These are the windows that were open at the end and those that got readings later than
     the watermark allows, which the stream drops. Read with ``newest_versions``, what was
     emitted and this are the roll-up of all ``readings``.
+
+    Days are compared by their number of readings first, which reads times alone and moves
+    one row per day and task; only the days that differ are rolled up (``owed_days``).
     """
+    days = owed_days(readings, emitted, size)
+    readings, emitted = _of_days(readings, days, size), emitted.filter(F.to_date("window_start").isin(days))
     known = emitted.groupBy(*WINDOW_KEYS).agg(F.max("count").alias("_known"))
     renamed = known.select("_known", *(F.col(k).alias(f"_{k}") for k in WINDOW_KEYS))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in WINDOW_KEYS]
@@ -147,5 +193,4 @@ def missing_windows(
 
 def newest_versions(aggregates: DataFrame) -> DataFrame:
     """One row per window: the one with the most readings (a repaired window has more)."""
-    ranked = aggregates.withColumn("_fewer", -F.col("count"))
-    return dedup(ranked, order_by=["_fewer"]).drop("_fewer")
+    return dedup(aggregates)

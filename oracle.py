@@ -109,6 +109,7 @@ def rolled(name: str, source: str, extra: str = "") -> str:
 DAILY = f"{READINGS}, {VALID}, {rolled('daily', 'valid')}"
 FEED = f"{READINGS}, {rolled('feed', 'readings', ', user_id')}"
 
+_VERSION = """"count" desc nulls last, case when "avg" is null or isnan("avg") then 1e300 else "avg" end"""
 _REST = (
     'location, city, country, unit, latitude, longitude, window_end, "count", "sum", "avg", '
     '"min", "max", aqi, aqi_category'
@@ -116,7 +117,8 @@ _REST = (
 _ORDER = ", ".join(f"{c} nulls first" for c in _REST.split(", "))
 UNIQUE = f"""{FEED},
 uniq as (select * exclude (rn) from (
-  select *, row_number() over (partition by location_id, parameter, window_start order by {_ORDER}) as rn
+  select *, row_number() over (
+    partition by location_id, parameter, window_start order by {_VERSION}, {_ORDER}) as rn
   from feed) where rn = 1)"""
 CODED = f"""{UNIQUE},
 coded as (select *, cast({code_sql('"avg"')} as integer) as code from uniq),
@@ -447,6 +449,24 @@ def oracle_sql() -> dict[str, str]:
         f"{DAILY}, {WATERMARK}",
         f"select {agg_columns} from daily, wm where window_end > w",
     )
+    add(
+        "periodic_emission",
+        f"{DAILY}, {WATERMARK}",
+        f"select {agg_columns} from daily, wm where window_end <= w",
+    )
+    add("repaired_windows", DAILY, f"select {agg_columns} from daily")
+    add(
+        "consume_messages",
+        DAILY,
+        """select location_id as key, case when parameter = 'co' then 'reject' else 'aggregate' end as outcome,
+          count(*) as messages from daily group by 1, 2""",
+    )
+    add(
+        "live_latest_per_station",
+        f"{DAILY}, {newest}",
+        f"select {agg_columns} from newest where {week}",
+    )
+    sql["live_rolling_summary"] = sql["rolling_summary"]
     add("stream_and_tail", DAILY, f"select {agg_columns} from daily")
     add("stream_dedup", DAILY, f"select {agg_columns} from daily")
     add(

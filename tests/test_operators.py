@@ -8,8 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hazemill import domain
 from hazemill import operators as op
 from hazemill.functions import fnv1a_64
+from hazemill.operators import joins
 from hazemill.schemas import AGGREGATE, MEASUREMENT, STATION
 from tests.conftest import at
 from tests.test_functions import NAN, fnv
@@ -31,19 +33,41 @@ def test_missing_columns_are_skipped(spark):
     assert judged.columns == ["pollutant", "v", "code", "valid", "reason"]
 
 
-def test_dedup_keeps_the_smallest_row_whatever_the_order(aggregates):
-    rows = [{"avg": a, "sum": s} for a, s in [(3.0, 1.0), (1.0, 9.0), (1.0, 2.0)]]
+def test_dedup_keeps_the_newest_version_whatever_the_order(aggregates):
+    rows = [{"count": n, "avg": a} for n, a in [(1, 10.0), (2, 30.0), (2, 31.0), (None, 1.0), (1, float("nan")), (2, None)]]
     for order in (rows, rows[::-1]):
-        kept = op.dedup(aggregates(*order, {"parameter": "o3"}), order_by=["avg"])
+        kept = op.dedup(aggregates(*order, *order, {"parameter": "o3"}).repartition(3))
         assert kept.columns == AGGREGATE.fieldNames()
-        assert kept.filter("parameter = 'pm25'").select("avg", "sum").collect() == [(1.0, 2.0)]
+        assert kept.filter("parameter = 'pm25'").select("count", "avg").collect() == [(2, 30.0)]
         assert kept.count() == 2
 
 
+def test_dedup_of_equal_versions_keeps_one_fixed_row(aggregates):
+    rows = [{"location": name, "city": city, "sum": s} for name in ("A", None) for city in ("A", None) for s in (1.0, None, 0.0, float("nan"))]
+    kept = {tuple(op.dedup(aggregates(*order).repartition(n)).select("location", "city").first()) for order in (rows, rows[::-1]) for n in (1, 5)}
+    assert len(kept) == 1
+    assert op.dedup(aggregates(*rows)).count() == 1
+
+
 def test_dedup_treats_missing_keys_as_equal(aggregates):
     assert op.dedup(aggregates({"location_id": None}, {"location_id": None})).count() == 1
 
 
+def test_published_last_counts_among_equal_versions(aggregates):
+    df = aggregates({"avg": 1.0}, {"avg": 2.0}, {"avg": 3.0, "count": 1}).withColumn(
+        "published", F.when(F.col("avg") == 2.0, F.lit(at("2024-01-02T00:00:00"))).when(F.col("avg") == 3.0, F.lit(at("2025-01-01T00:00:00")))
+    )
+    assert [r["avg"] for r in op.dedup(df).collect()] == [2.0]
+
+
+@pytest.mark.parametrize("operator", ["dedup", "latest_per_station", "aqi_map", "clean"])
+def test_survivors_are_found_without_sorting(aggregates, operator, tmp_path):
+    aggregates({}, {"location_id": "st-2"}).write.parquet(str(tmp_path / "rows"))
+    df = aggregates({}).sparkSession.read.parquet(str(tmp_path / "rows"))
+    plan = getattr(op, operator)(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_clean_and_its_report(aggregates):
     df = aggregates(
         {}, {}, {"parameter": "xx"}, {"parameter": "o3", "avg": -1.0}, {"parameter": "co"}
@@ -188,6 +212,17 @@ def test_matrix_fills_with_zero(aggregates):
     assert [(r["city"], r["pm25"], r["o3"], r["co"]) for r in out] == [("A", 0.0, 3.5, 0.0), ("B", 14.2, 0.0, 0.0)]
 
 
+def test_matrix_has_every_pollutant(aggregates):
+    df = aggregates({"parameter": "bc", "avg": 2.0}, {"city": "A", "parameter": "pm1.0"}, {"parameter": None}, {"parameter": "bc", "avg": 3.0})
+    matrix = op.city_pollutant_matrix(df)
+    assert matrix.columns == ["city", *domain.PARAMETERS, "bc", "pm1.0"]
+    assert [(r["city"], r["bc"], r["pm1.0"], r["pm25"]) for r in matrix.collect()] == [("A", 0.0, 14.2, 0.0), ("Moscow", 2.5, 0.0, 0.0)]
+    assert op.city_pollutant_matrix(df, ["bc"]).columns == ["city", "bc"]
+    with pytest.raises(ValueError, match="more than 1"):
+        op.city_pollutant_matrix(df, most=1)
+    assert op.city_pollutant_matrix(df.limit(0)).columns == ["city", *domain.PARAMETERS]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 100, 1001])
 def test_distribution_against_numpy(aggregates, size):
     rng = random.Random(size)
@@ -297,10 +332,11 @@ def catalogue(spark, *rows):
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_station_lookup(spark, measurements, threshold, tmp_path):
-    """The same rows with a broadcast and with a salted join."""
+    """The same rows with a broadcast, which moves no fact, and with a join of salted hot keys."""
     facts = measurements(*({"location_id": i, "value": float(v)} for v in range(40) for i in ("hot", "b", "none")))
     facts = facts.select("location_id", "parameter", "value", "unit", "timestamp").repartition(3)
-    # Local rows have no known size and are never broadcast; a file has one.
+    facts.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
     path = str(tmp_path / "stations")
     catalogue(spark, ("hot", "Hot", "H"), ("b", "B1", "B"), ("b", "B2", "B"), ("c", "C", "C")).write.parquet(path)
     stations = spark.read.parquet(path)
@@ -311,11 +347,14 @@ def test_station_lookup(spark, measurements, threshold, tmp_path):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
         assert ("_salt" in plan) == (threshold == "-1")
+        if threshold != "-1":
+            above = plan[plan.index("BroadcastHashJoin") :].split("BroadcastExchange")[0]
+            assert "Exchange" not in above.replace("BroadcastHashJoin", "")
         assert joined.columns == MEASUREMENT.fieldNames()
         counts = {r["location"]: r["count"] for r in joined.groupBy("location").count().collect()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert counts == {"Hot": 40, "B1": 40}
+    assert counts == {"Hot": 40, "B2": 40}  # of the two rows of b a fixed one
 
 
 def test_salt_spreads_copies_of_one_fact(spark, monkeypatch):
@@ -330,6 +369,37 @@ def test_salt_spreads_copies_of_one_fact(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
 
 
+def test_size_is_measured_not_estimated(spark, tmp_path):
+    """140 MB that compress to nothing are no broadcast; a small table behind a generator is."""
+    spark.range(2_000_000).select("id", F.lit("x" * 48).alias("name")).coalesce(2).write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    assert joins.measured_size(wide, 10 * 2**20) is None
+    assert 140e6 < joins.measured_size(wide, 2**30) < 200e6
+    facts = spark.range(1000).select((F.col("id") * 7).alias("id"))
+    joined = op.join_dimension(facts, wide, "id")
+    assert joined.count() == 1000
+    small = spark.range(10).select(F.explode(F.array(F.col("id"), F.col("id") + 10)).alias("id"))
+    assert joins.measured_size(small, 10 * 2**20) == 20 * 24
+    nested = spark.range(3).select("id", F.array(F.lit("abc")).alias("a"), F.lit(None).cast("string").alias("s"))
+    assert joins.measured_size(nested, 10_000) < 600
+    assert joins.measured_size(nested.limit(0), 10_000) == 0 and joins.measured_size(nested, -1) is None
+
+
+def test_only_hot_keys_are_salted(spark):
+    facts = spark.range(9000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    assert joins.hot_keys(facts, ["k"]) == [facts.filter("k = -1").select(F.xxhash64("k")).first()[0]]
+    assert joins.hot_keys(spark.range(5000), ["id"]) == [] and joins.hot_keys(spark.range(0), ["id"]) == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dimension = spark.range(-1, 9000).select(F.col("id").alias("k"), F.lit("d").alias("name"))
+        joined = op.join_dimension(facts, dimension, "k")
+        assert joined.count() == 9000 and "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+        plain = op.join_dimension(spark.range(5000), dimension.withColumnRenamed("k", "id"), "id")
+        assert plain.count() == 5000 and "_salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+
+
 def test_unsupported_lookup(spark):
     with pytest.raises(ValueError):
         op.join_dimension(spark.range(1), spark.range(1), "id", "full")

@@ -119,6 +119,8 @@ def test_latest_payload(spark):
 def test_location_numbers(spark):
     df = spark.createDataFrame([("oa-42",), ("st-42",), ("oa-x",)], "id string")
     assert [r[0] for r in df.select(sources.location_number(F.col("id"))).collect()] == [42, None, None]
+    long = spark.createDataFrame([("oa-" + "0" * 20 + "17",), ("oa-" + "9" * 30,), ("oa-",), (None,)], "id string")
+    assert [r[0] for r in long.select(sources.location_number(F.col("id"))).collect()] == [17, None, None, None]
 
 
 class Broken:

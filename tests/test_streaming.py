@@ -1,17 +1,21 @@
 from __future__ import annotations
 
+import json
 import random
 import time
+from collections import Counter
 from datetime import timedelta
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from hazemill import operators as op
 from hazemill import sources, streaming
-from hazemill.plans.board import board_tables, watch
+from hazemill.plans.batch_report import analyze
+from hazemill.plans.board import board_tables, watch, write_tables
 from hazemill.plans.collect import collect_rest, collect_stream, collect_windows
+from hazemill.plans.consume import consume
 from hazemill.schemas import AGGREGATE
 from hazemill.session import shared_dir
 from tests.conftest import at
@@ -236,16 +240,136 @@ def test_board(spark, aggregates, tmp_path):
         assert tables[name].count() > 0
 
 
-def test_watch(spark, aggregates, tmp_path):
-    df = windows(aggregates)
+def test_watch_hands_out_the_tables_of_all_that_came(spark, aggregates, tmp_path):
+    df = op.dedup(windows(aggregates).withColumn("window_start", F.col("window_end") - timedelta(seconds=10)))
     folder = shared_dir(spark, "messages")
-    sources.to_messages(df).coalesce(1).write.json(folder)
+    pieces = [df.filter(F.pmod(F.xxhash64("window_end"), F.lit(3)) == i) for i in range(3)]
+    for piece in [*pieces, pieces[1]]:  # out of order, and one delivered again
+        sources.to_messages(piece).coalesce(1).write.mode("append").json(folder)
+        time.sleep(1.1)
     shown = []
-    stream = sources.read_aggregate_stream(spark, folder)
 
-    def show(batch, batch_id):
-        assert len(batch.take(1)) <= 1
-        shown.extend(rows_of(batch))
+    def show(tables, batch_id):
+        shown.append((batch_id, {name: rows_of(table) for name, table in tables.items()}))
 
+    stream = sources.read_aggregate_stream(spark, folder, max_per_trigger=1)
     watch(stream, str(tmp_path / "checkpoint"), show, every=None).awaitTermination()
-    assert sorted(shown) == rows_of(streaming.stream_sliding(df, "5 minutes", "1 minute"))
+    assert [i for i, _ in shown] == [0, 1, 2, 3]
+    seen = pieces[0]
+    for piece, (_, tables) in zip([None, *pieces[1:], None], shown):
+        seen = seen if piece is None else seen.unionByName(piece)
+        assert tables == {name: rows_of(table) for name, table in board_tables(seen).items()}
+    write_tables(str(tmp_path / "tables"))(board_tables(df), 0)
+    assert rows_of(spark.read.parquet(str(tmp_path / "tables" / "aqi_map"))) == rows_of(board_tables(df)["aqi_map"])
+
+
+def test_every_message_is_an_aggregate_or_a_reject(spark, aggregates, tmp_path):
+    df = windows(aggregates)
+    good = sources.to_messages(df)
+    bad = spark.createDataFrame(
+        [("a", "{"), ("b", None), (None, "[]"), ("c", "{}"), ("d", '{"parameter": null}'), ("e", "no"), ("f", '{"avg": "x"}')] * 3,
+        "key string, value string",
+    )
+    folder = shared_dir(spark, "mixed")
+    for part in range(3):
+        good.unionByName(bad).sample(0.5, seed=part).coalesce(1).write.mode("append").json(folder)
+    sent = spark.read.schema("key string, value string").json(folder)
+    parquet, rejects = sources.ParquetSink(str(tmp_path / "windows")), sources.RejectSink(str(tmp_path / "rejects"))
+    flaky = Flaky(sources.MessageSink(str(tmp_path / "flaky")))
+    counters = streaming.StreamCounters("messages")
+    spark.streams.addListener(counters)
+    try:
+        for attempt in range(2):
+            stream = sources.read_messages(spark, folder, max_per_trigger=1)
+            query = consume(stream, [flaky, parquet], rejects, str(tmp_path / "checkpoint"))
+            if attempt == 0:
+                with pytest.raises(StreamingQueryException, match="flaky"):
+                    query.awaitTermination()
+            else:
+                query.awaitTermination()
+        taken, kept = sources.read_aggregates(spark, parquet.path), spark.read.parquet(rejects.path)
+        assert rows_of(taken) == rows_of(sources.from_messages(sent))
+        wanted = sorted(map(str, map(tuple, sources.rejected_messages(sent).collect())))
+        assert sorted(str((r["key"], r["value"])) for r in kept.collect()) == wanted
+        assert taken.count() + kept.count() == sent.count() and kept.count() > 10
+        for _ in range(100):
+            if counters.totals(query).get("messages_total", 0) >= sent.count():
+                break
+            time.sleep(0.1)
+        assert counters.totals(query)["rejected_total"] >= kept.count()
+    finally:
+        spark.streams.removeListener(counters)
+
+
+def test_repaired_windows_replace_stale_ones_for_every_reader(spark, aggregates, tmp_path):
+    stale, repaired = aggregates({"count": 1, "avg": 10.0, "max": 11.0}), aggregates({"count": 2, "avg": 30.0, "max": 50.0})
+    folder, messages = str(tmp_path / "windows"), shared_dir(spark, "versions")
+    sinks = [sources.ParquetSink(folder), sources.MessageSink(messages)]
+    for i, batch in enumerate((stale, repaired, stale)):
+        sources.fan_out(sinks)(batch, i)
+        time.sleep(0.1)
+    assert sources.read_aggregates(spark, folder).count() == 3
+    assert rows_of(sources.read_windows(spark, folder)) == rows_of(repaired)
+    assert [r["avg"] for r in op.clean(sources.read_aggregates(spark, folder)).collect()] == [30.0]
+    written = analyze(spark, folder, str(tmp_path / "report"))
+    assert rows_of(sources.read_aggregates(spark, written["clean"])) == rows_of(repaired)
+    for name in ("worst_stations", "worst_stations_sql"):
+        row = spark.read.parquet(written[name]).first()
+        assert (row["avg_pm25"], row["windows"], row["peak_pm25"]) == (30.0, 1, 50.0)
+    stream = streaming.stream_dedup(sources.read_aggregate_stream(spark, messages), delay="1 hour")
+    versions = streaming.run_to_table(spark, stream, "versions")
+    assert versions.count() == 2
+    assert rows_of(streaming.newest_versions(versions)) == rows_of(repaired)
+
+
+def test_a_collector_stopped_before_its_first_batch(spark, measurements, tmp_path):
+    df = feed(measurements)
+    sink = sources.ParquetSink(str(tmp_path / "windows"))
+    emitted = sources.read_aggregates(spark, sink.path, missing_ok=True)
+    assert emitted.count() == 0 and emitted.columns == AGGREGATE.fieldNames()
+    rest = collect_rest(df, emitted, [sink])
+    assert rest["windows"] == collect_windows(df).count()
+    assert rows_of(sources.read_windows(spark, sink.path)) == rows_of(collect_windows(df))
+    with pytest.raises(AnalysisException):
+        sources.read_aggregates(spark, str(tmp_path / "nothing"))
+
+
+def test_only_owed_days_are_rolled_up(spark, measurements, tmp_path):
+    days = [{"timestamp": START + timedelta(days=d, hours=h, minutes=50 * h), "value": float(d + h)} for d in range(12) for h in range(0, 12, 3)]
+    df = op.valid_readings(measurements(*days))
+    for size in ("10 seconds", "7 hours", "3 days"):
+        whole = op.tumbling_aggregate(df, size)
+        emitted = whole.filter(~F.col("window_start").cast("date").isin([(START + timedelta(days=d)).date() for d in (3, 4, 9)]))
+        owed = streaming.missing_windows(df, emitted, size)
+        assert rows_of(emitted.unionByName(owed.drop("missed"))) == rows_of(whole)
+        expected = sorted({r["window_start"].date() for r in whole.exceptAll(emitted).collect()})
+        assert streaming.owed_days(df, emitted, size) == expected
+    path = str(tmp_path / "readings")
+    df.withColumn("day", F.to_date("timestamp")).write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    whole = op.tumbling_aggregate(stored, "10 seconds")
+    late = (START + timedelta(days=5)).date()
+    owed = streaming.missing_windows(stored, whole.filter(F.to_date("window_start") != F.lit(late)), "10 seconds")
+    plan = owed._jdf.queryExecution().executedPlan().toString()
+    assert str(late) in plan[plan.index("PartitionFilters") :] and "GreaterThanOrEqual(timestamp" in plan
+    assert owed.count() == 4
+
+
+def test_hot_station_is_sent_by_several_tasks_in_order(spark, aggregates):
+    rows = [{"location_id": "hot" if i % 3 == 0 else f"st-{i % 50}", "window_start": START + timedelta(seconds=10 * (i * 7919 % 3000))} for i in range(3000)]
+    df = aggregates(*rows)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        sent = sources.KafkaSink("none:1", "topic").messages(df).withColumn("task", F.spark_partition_id())
+        got = sent.select("task", "key", F.col("headers")[0]["value"].cast("string").alias("order"), "value").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    loads = Counter(r["task"] for r in got)
+    assert len(got) == 3000 and max(loads.values()) < 3000 / 4
+    assert len({r["task"] for r in got if r["key"] == "hot"}) > 1
+    hot = [r for r in got if r["key"] == "hot"]
+    assert [r["order"] for r in hot] == sorted(r["order"] for r in hot)
+    starts = [json.loads(r["value"])["window_start"] for r in sorted(hot, key=lambda r: r["order"])]
+    assert starts == sorted(starts)
