@@ -37,13 +37,13 @@ def test_masking_goes_on_until_nothing_is_left():
 ])
 def test_odd_pages_cost_no_more_than_their_length(page):
     began = time.perf_counter()
-    html.Page(page).extract(set())
+    html.Page(page).extract(html.Template())
     assert time.perf_counter() - began < 20
-    assert html.Page("<article><p>kept</p></article>" + page).extract(set()) == "kept"
+    assert html.Page("<article><p>kept</p></article>" + page).extract(html.Template()) == "kept"
 
 
 def test_a_tag_ends_before_the_next_one():
-    assert html.Page("<article><p title='a > b' x=\"<i>\">one</p><p>1 < 2</p></article>").extract(set()) == "one\n\n1 < 2"
+    assert html.Page("<article><p title='a > b' x=\"<i>\">one</p><p>1 < 2</p></article>").extract(html.Template()) == "one\n\n1 < 2"
 
 
 def test_long_paths_of_words_are_allowed(spark):

@@ -237,10 +237,10 @@ MAIN = "T & t\n\nOne two three four.\n\nFive\n\nsix\n\nseven"
 
 def test_page_roles():
     page = f"<html><head><title>x</title></head><body><nav>menu<div class='cookie-notice'>We</div>{ARTICLE}<footer>end"
-    assert html.Page(page).extract(set()) == MAIN
+    assert html.Page(page).extract(html.Template()) == MAIN
     for junk in ("", "<", "<<<>>", "<p", "</p></p>", "<!-- x", "<script>", "a < b &lt; c", "<article></article>"):
-        html.Page(junk).extract(set())
-    assert html.Page("a < b &lt; c").extract(set()) == "a < b < c"
+        html.Page(junk).extract(html.Template())
+    assert html.Page("a < b &lt; c").extract(html.Template()) == "a < b < c"
 
 
 def test_template_of_pages_without_article(spark):
