@@ -24,13 +24,15 @@ CLASSES = {
     "entropy_hex": (r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 3.0),
     "entropy_alnum": (r"^(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z]+$", 3.7),
     "entropy_base64": (r"^(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z+/_=-]+$", 3.8),
+    "entropy_letters": (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", 4.0),
 }
-#: Candidates that are no secret however they look: UUIDs, sample keys, paths of words.
+#: Candidates that are no secret however they look: UUIDs, paths of words.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"(?i)example|sample|placeholder|abcdefgh|01234567",
     r"^/?[a-z]++(?:[/_-][a-z]++)++[0-9]{0,4}$",  # possessive: no stack frame per segment
 )
+#: Suspicious stretches that are no secret: sample keys.
+ALLOWED_STRETCH = r"(?i)example|sample|placeholder|abcdefgh|01234567"
 KINDS = (*BASE_KINDS, *CLASSES)
 
 
@@ -87,10 +89,14 @@ def _entropy_spans(candidates: DataFrame) -> DataFrame:
     windows = change.withColumn("sum", F.sum("change").over(walk.rowsBetween(Window.unboundedPreceding, 0)))
     entropy = F.log2(F.lit(float(WINDOW))) - F.col("sum") / WINDOW
     hot = windows.filter(F.col("at") >= WINDOW - 1).filter(entropy >= F.col("least"))
-    return hot.groupBy("key", "start", "kind").agg(
-        F.min("at").alias("first"), F.max("at").alias("last")
-    ).select(
-        "key", "kind", (F.col("start") + F.col("first") - (WINDOW - 1)).alias("start"),
+    stretches = hot.groupBy("key", "start", "kind").agg(
+        (F.min("at") - (WINDOW - 1)).alias("first"), F.max("at").alias("last")
+    )
+    # Only the stretch's own characters can excuse it: a word elsewhere in a path does not.
+    stretches = stretches.join(suspects.select("key", "start", "found"), ["key", "start"])
+    own = F.substring(F.col("found"), F.col("first") + 1, F.col("last") - F.col("first") + 1)
+    return stretches.filter(~own.rlike(ALLOWED_STRETCH)).select(
+        "key", "kind", (F.col("start") + F.col("first")).alias("start"),
         (F.col("start") + F.col("last") + 1).alias("end"),
     )
 

@@ -56,7 +56,7 @@ def brute_entropy(text):
             bits = -sum(window.count(c) / 20 * math.log2(window.count(c) / 20) for c in set(window))
             if bits >= secrets.CLASSES[kind][1]:
                 hot.append(i)
-        if hot:
+        if hot and not re.search(secrets.ALLOWED_STRETCH, found[hot[0] : hot[-1] + 20]):
             out.append((kind, m.start() + hot[0], m.start() + hot[-1] + 20))
     return out
 
@@ -88,6 +88,16 @@ def test_secrets(spark):
     assert secrets.find_secrets(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_words_beside_a_key_do_not_excuse_it(spark):
+    key, letters = "Zq8rT2vXw9Lk4Pm7Ns3BaYc6", "qZvRtBxWnKpLmHsDfGjCyTaEoIuQzVrNbXwPkMlS"
+    texts = [f"/samples/keys/aaaaaaaaaaaaaaaaaaaa/{key}", f"see {letters} there", "getUserNameFromConfigurationFileOrThrowError",
+             "Donaudampfschifffahrtsgesellschaftskapitaen", f"sample{key}"]
+    got = secrets.find_secrets(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], DOCS))
+    spans = {r.doc_id: r.spans for r in got.collect()}
+    assert spans[0].startswith("entropy_base64:") and spans[0].endswith(f":{len(texts[0])}")
+    assert spans[1].startswith("entropy_letters:") and spans[2] == spans[3] == spans[4] == ""
+
+
 def test_secrets_use_no_python(spark):
     plan = secrets.find_secrets(spark.createDataFrame([(1, "a", "b")], DOCS))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
