@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazemill import domain
 from hazemill.functions.checks import code_text, reason_message, spec_texts
-from hazemill.operators.survivors import one_per_key, version_rank
+from hazemill.operators.survivors import one_per_key, version_order, version_rank
 
 WINDOW_KEYS = ["location_id", "parameter", "window_start"]
 
@@ -62,14 +62,16 @@ def valid_readings(readings: DataFrame) -> DataFrame:
 
 def dedup(df: DataFrame, keys: Sequence[str] = WINDOW_KEYS) -> DataFrame:
     """One row per key. Of aggregates it is the newest version (``version_rank``: a window that
-    was published again with late readings has more of them); of other rows, and of equal
-    versions, a fixed one.
+    was published again with late readings has more of them), of equal versions the smallest by
+    the other columns in their order; of other rows a fixed one.
 
-    An aggregation of fixed-width ranks rather than ``row_number()``: every task first reduces
-    its own copies, so a group that holds a third of all rows is shuffled as one rank per task.
+    An aggregation of fixed-width ranks rather than ``row_number()`` over all rows: every task
+    first reduces its own copies, so a group that holds a third of all rows is shuffled as one
+    rank per task. Only rows of equal rank are put in order.
     """
-    rank = version_rank(df.columns) if {"count", "avg"} <= set(df.columns) else []
-    return one_per_key(df, keys, rank)
+    if not {"count", "avg"} <= set(df.columns):
+        return one_per_key(df, keys)
+    return one_per_key(df, keys, version_rank(df.columns), version_order(df.columns))
 
 
 def clean(df: DataFrame) -> DataFrame:

@@ -49,6 +49,26 @@ def test_dedup_of_equal_versions_keeps_one_fixed_row(aggregates):
     assert op.dedup(aggregates(*rows)).count() == 1
 
 
+def test_dedup_decides_equal_versions_by_the_other_columns_in_their_order(aggregates):
+    rng, rows, expected = random.Random(7), [], []
+    shown = ["location_id", "city", "sum", "avg", "min"]
+    for station in range(20):
+        versions = [(f"st-{station}", city, total, mean, low) for city in (None, "A", "a") for total in (None, 1.0, NAN) for mean in (14.201, 14.202) for low in (63.09, 2.48)]
+        versions = rng.sample(versions, 8)
+        # The mean first, also below the hundredth that the rank holds; then NULL before values before NaN.
+        key = [lambda v: (v is not None, v or "")] + [lambda v: (v is not None, v is not None and math.isnan(v), v or 0.0)] * 3
+        expected.append(min(versions, key=lambda v: (v[3], *(k(x) for k, x in zip(key, v[1:])))))
+        rows += [dict(zip(shown, v)) for v in versions]
+    for order in (rows, rows[::-1] + rows):
+        kept = op.dedup(aggregates(*order).repartition(3)).select(*shown)
+        assert sorted(repr(tuple(r)) for r in kept.collect()) == sorted(map(repr, expected))
+
+
+def test_tied_rows_of_a_key_are_reduced_before_their_shuffle(aggregates):
+    plan = op.dedup(aggregates({}))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_dedup_treats_missing_keys_as_equal(aggregates):
     assert op.dedup(aggregates({"location_id": None}, {"location_id": None})).count() == 1
 
